@@ -25,8 +25,9 @@ def parse_json(
     """Fields of the JSON column ``text`` as columns, then ``keep`` (new name -> raw column).
 
     Unreadable text gives NULL in every field, a value of the wrong type NULL in that field. The
-    fields in ``instants`` are ISO text and become timestamps. ``unreadable`` names an optional
-    column for text that could not be read as declared; it costs the pruning of unused fields.
+    fields in ``instants`` are ISO text and become timestamps. Pass a ``schema`` with the needed
+    fields only: the reader then skips all others. ``unreadable`` names an optional column for
+    text that could not be read as declared.
     """
     declared, options = schema, {}
     if unreadable:

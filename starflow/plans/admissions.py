@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -66,6 +67,7 @@ FACT = (
     "discharge_status string, bed_id string, heart_rate int, bp_systolic int, "
     "bp_diastolic int, temperature_f double, oxygen_saturation int, _gold_processed_at timestamp"
 )
+FACT_COLUMNS = tuple(StructType.fromDDL(FACT).fieldNames())
 
 # Departments, their beds, and known wrong spellings.
 BED_CAPACITY = {
@@ -89,6 +91,28 @@ SPELLINGS = {
 AGES = (0, 120)
 HOSPITALS = (1, 7)
 
+# Which columns the rules read to repair a column.
+REPAIRED_FROM = {
+    "admission_time": ["event_timestamp"],
+    "discharge_time": ["admission_time"],
+    "length_of_stay_hrs": ["admission_time", "discharge_time"],
+    "_dq_flags": [
+        "event_type", "patient_id", "age", "department", "hospital_id", "admission_time",
+        "discharge_time",
+    ],
+}
+
+# The fields each topic of rules looks at or repairs.
+TOPIC_FIELDS = {
+    "future_admission": ["admission_time", "event_timestamp"],
+    "invalid_age": ["age"],
+    "discharge_before_admit": ["admission_time", "discharge_time"],
+    "dept_typo": ["department"],
+    "invalid_hospital": ["hospital_id"],
+    "missing_fields": ["patient_id", "event_type", "department"],
+    "stay_hours": ["admission_time", "discharge_time", "length_of_stay_hrs"],
+}
+
 TRACKED = ["gender", "age", "insurance_type"]
 _PARTITION, _OFFSET = "_bronze_partition", "_bronze_offset"
 
@@ -143,7 +167,20 @@ def quality_rules(as_of: AsOf) -> dict[str, list[Rule]]:
     }
 
 
-def parse(landed: DataFrame, unreadable: str | None = None) -> DataFrame:
+def fields_for(columns: Iterable[str]) -> list[str]:
+    """The message fields that cleaned ``columns`` depend on, in the order of the message."""
+    needed, queue = {"event_id"}, list(columns)
+    while queue:
+        column = queue.pop()
+        if column not in needed:
+            needed.add(column)
+            queue += REPAIRED_FROM.get(column, [])
+    return [f for f in MESSAGE.fieldNames() if f in needed]
+
+
+def parse(
+    landed: DataFrame, fields: Sequence[str] | None = None, unreadable: str | None = None
+) -> DataFrame:
     """Landed messages as typed columns, with the broker coordinates that tell copies apart."""
     carried = {
         "_bronze_eventhub_ts": "eventhub_timestamp",
@@ -153,7 +190,9 @@ def parse(landed: DataFrame, unreadable: str | None = None) -> DataFrame:
     }
     if unreadable:
         carried["raw_json"] = "raw_json"
-    return parse_json(landed, "raw_json", MESSAGE, carried, INSTANTS, unreadable)
+    schema = MESSAGE if fields is None else StructType([MESSAGE[f] for f in fields])
+    instants = [f for f in schema.fieldNames() if f in INSTANTS]
+    return parse_json(landed, "raw_json", schema, carried, instants, unreadable)
 
 
 def first_copies(parsed: DataFrame) -> DataFrame:
@@ -162,11 +201,27 @@ def first_copies(parsed: DataFrame) -> DataFrame:
     return one_per_key(parsed, ["event_id"], order)
 
 
-def clean(landed: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """Silver events: parsed, repaired, flagged, one row per event."""
-    rules = [rule for topic in quality_rules(as_of).values() for rule in topic]
-    flagged = apply_rules(first_copies(parse(landed)), rules)
-    return complete_schema(flagged.withColumn("_silver_processed_at", instant(as_of)), SILVER)
+def clean(
+    landed: DataFrame, as_of: AsOf = None, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Silver events: parsed, repaired, flagged, one row per event.
+
+    With ``columns`` only these; fields that they do not depend on are not parsed, and rules on
+    such fields are left out, as they could not change the columns asked for.
+    """
+    wanted = SILVER.fieldNames() if columns is None else list(columns)
+    fields = fields_for(wanted)
+    rules = [
+        rule
+        for topic, topic_rules in quality_rules(as_of).items()
+        if set(TOPIC_FIELDS[topic]) <= set(fields)
+        for rule in topic_rules
+    ]
+    flagged = apply_rules(first_copies(parse(landed, fields)), rules)
+    stamped = flagged.withColumn("_silver_processed_at", instant(as_of))
+    if columns is None:
+        return complete_schema(stamped, SILVER)
+    return stamped.select(*wanted)
 
 
 def latest_patients(silver: DataFrame) -> DataFrame:
@@ -195,38 +250,54 @@ def date_dimension(silver: DataFrame) -> DataFrame:
     return calendar_dimension(silver, "admission_time")
 
 
+def fact_inputs(columns: Iterable[str]) -> list[str]:
+    """The silver columns that fact ``columns`` are made from."""
+    made_from = {
+        "fact_id": ["admission_time", "event_id"],
+        "patient_sk": ["patient_id"],
+        "department_sk": ["department", "hospital_id"],
+        "admission_date": ["admission_time"],
+        "is_currently_admitted": ["event_type", "discharge_time"],
+        "_gold_processed_at": [],
+        **{v: ["vitals"] for v in VITAL_FIELDS},
+    }
+    needed = {"event_id"}.union(*(made_from.get(c, [c]) for c in columns))
+    return [c for c in SILVER.fieldNames() if c in needed]
+
+
 def patient_flow_fact(
     silver: DataFrame,
-    patients: DataFrame | None,
-    departments: DataFrame,
+    patients: DataFrame | None = None,
+    departments: DataFrame | None = None,
     as_of: AsOf = None,
-    numbered: bool = True,
+    columns: Sequence[str] = FACT_COLUMNS,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """One fact per event, with the current version of its patient.
 
-    Unnumbered facts stay lazy: a figure over a few columns reads only those. ``patients`` may
-    then be left out where no patient key is needed.
+    With ``columns`` only these: dimensions whose key is not among them are not looked up, and
+    ``silver`` needs no more than ``fact_inputs(columns)``.
     """
-    lookups = [Lookup(departments, ["department", "hospital_id"], "department_sk")]
-    if patients is not None:
+    lookups = []
+    if "patient_sk" in columns:
         current = patients.filter(F.col("is_current"))
-        lookups.insert(0, Lookup(current, ["patient_id"], "patient_sk"))
+        lookups.append(Lookup(current, ["patient_id"], "patient_sk"))
+    if "department_sk" in columns:
+        lookups.append(Lookup(departments, ["department", "hospital_id"], "department_sk"))
     admitted = (F.col("event_type") == "ADMISSION") & F.col("discharge_time").isNull()
     derived = {
         "admission_date": F.to_date("admission_time"),
         "is_currently_admitted": F.coalesce(admitted, F.lit(False)),
         "_gold_processed_at": instant(as_of),
     }
-    skip = {"fact_id"} if patients is not None else {"fact_id", "patient_sk"}
-    columns = [c for c in StructType.fromDDL(FACT).fieldNames() if c not in skip]
+    vitals = [v for v in VITAL_FIELDS if v in columns]
     return build_fact(
-        flatten(silver, "vitals", VITAL_FIELDS),
+        flatten(silver, "vitals", vitals) if vitals else silver,
         lookups,
-        derived,
-        columns,
+        {name: column for name, column in derived.items() if name in columns},
+        [c for c in columns if c != "fact_id"],
         spread_by=["event_id"],
-        key="fact_id" if numbered else None,
+        key="fact_id" if "fact_id" in columns else None,
         order=["admission_date", "event_id"],
         broadcast_rows=broadcast_rows,
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,7 @@ from starflow.sources.tables import (
     open_stream,
     open_table,
     register_views,
+    spread,
     stage,
     write_table,
 )
@@ -75,7 +77,7 @@ def arriving_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, folder: str) -> DataFrame:
-    return feed.admission_messages(table(spark, folder, "events"))
+    return feed.admission_messages(spread(table(spark, folder, "events"), "event_id"))
 
 
 def landed(spark: SparkSession, folder: str) -> DataFrame:
@@ -87,8 +89,8 @@ def landed_batch(spark: SparkSession, folder: str, batch: int) -> DataFrame:
     return envelope(some, feed.LINEAGE, feed.AS_OF)
 
 
-def silver(spark: SparkSession, folder: str) -> DataFrame:
-    return a.clean(landed(spark, folder), feed.AS_OF)
+def silver(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    return a.clean(landed(spark, folder), feed.AS_OF, columns or None)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -97,38 +99,40 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return open_declared(df.sparkSession, path, SERVED[name])
 
 
+DEPARTMENT_INPUT = ("department", "hospital_id", "hospital_name")
+DATE_INPUT = ("admission_time",)
+PATIENT_INPUT = ("event_id", "patient_id", "event_timestamp", *a.TRACKED)
+
+
 class Star:
-    """The served tables of one load. Each is built and stored when first asked for.
+    """The served tables of one load. Each dimension is built and stored when first asked for.
 
-    ``columns`` of silver are those the asking query needs: several tables read silver, so it is
-    stored, but no wider than that.
+    Several tables read silver, so it is stored, but only the columns the query needs.
     """
 
     def __init__(self, spark: SparkSession, folder: str, *columns: str):
-        whole = silver(spark, folder)
-        self.silver = stage(whole.select(*columns) if columns else whole, "silver")
+        self.silver = stage(silver(spark, folder, *dict.fromkeys(columns)), "silver")
 
-    @property
+    @cached_property
     def departments(self) -> DataFrame:
-        if not hasattr(self, "_departments"):
-            self._departments = stored(a.department_dimension(self.silver), "dim_department")
-        return self._departments
+        return stored(a.department_dimension(self.silver), "dim_department")
 
-    @property
+    @cached_property
     def patients(self) -> DataFrame:
-        if not hasattr(self, "_patients"):
-            self._patients = stored(a.patient_dimension(self.silver, feed.AS_OF), "dim_patient")
-        return self._patients
+        return stored(a.patient_dimension(self.silver, feed.AS_OF), "dim_patient")
 
-    @property
+    @cached_property
     def dates(self) -> DataFrame:
-        if not hasattr(self, "_dates"):
-            self._dates = stored(a.date_dimension(self.silver), "dim_date")
-        return self._dates
+        return stored(a.date_dimension(self.silver), "dim_date")
 
-    def fact(self, numbered: bool = False) -> DataFrame:
+    def fact(self, *columns: str) -> DataFrame:
+        columns = columns or a.FACT_COLUMNS
         return a.patient_flow_fact(
-            self.silver, self.patients, self.departments, feed.AS_OF, numbered
+            self.silver,
+            self.patients if "patient_sk" in columns else None,
+            self.departments if "department_sk" in columns else None,
+            feed.AS_OF,
+            columns,
         )
 
 
@@ -160,13 +164,15 @@ def parse_events(spark, folder):
 
 @query
 def flatten_vitals(spark, folder):
-    parsed = a.parse(landed(spark, folder)).select("event_id", "_bronze_offset", "vitals")
+    parsed = a.parse(landed(spark, folder), ["event_id", "vitals"])
+    parsed = parsed.select("event_id", "_bronze_offset", "vitals")
     return flatten(parsed, "vitals", a.VITAL_FIELDS)
 
 
 @named("complete_schema")
 def completed_events(spark, folder):
-    some = a.parse(landed(spark, folder)).select("event_id", "event_type", "age", "vitals")
+    names = ["event_id", "event_type", "age", "vitals"]
+    some = a.parse(landed(spark, folder), names).select(*names)
     return flatten(complete_schema(some, a.SILVER), "vitals", a.VITAL_FIELDS)
 
 
@@ -184,24 +190,22 @@ def quarantine(spark, folder):
 
 @query
 def declared_schema_scan(spark, folder):
-    star = Star(spark, folder)
-    served = {
-        "dim_patient": star.patients,
-        "dim_department": star.departments,
-        "dim_date": star.dates,
-        "fact_patient_flow": stored(star.fact(numbered=True), "fact_patient_flow"),
-    }
-    register_views(served)
-    return spark.sql(
-        "SELECT * FROM fact_patient_flow"
+    star = Star(spark, folder, *a.SILVER.fieldNames())
+    register_views(
+        {
+            "dim_patient": star.patients,
+            "dim_department": star.departments,
+            "dim_date": star.dates,
+            "fact_patient_flow": stored(star.fact(), "fact_patient_flow"),
+        }
     )
+    return spark.sql("SELECT * FROM fact_patient_flow")
 
 
 @query
 def schema_merge_read(spark, folder):
-    parsed = a.parse(landed(spark, folder)).select(
-        "event_id", "_bronze_offset", "event_type", "discharge_status"
-    )
+    names = ["event_id", "event_type", "discharge_status"]
+    parsed = a.parse(landed(spark, folder), names).select(*names, "_bronze_offset")
     early = F.col("event_type").eqNullSafe("ADMISSION")
     path = new_folder(spark, "schema_merge")
     append_table(parsed.filter(early).drop("discharge_status"), path)
@@ -214,7 +218,8 @@ def schema_merge_read(spark, folder):
 
 def one_topic(topic: str, column: str) -> Query:
     def one_rule(spark, folder):
-        parsed = a.first_copies(a.parse(landed(spark, folder)))
+        names = dict.fromkeys(["event_id", column, *a.TOPIC_FIELDS[topic]])
+        parsed = a.first_copies(a.parse(landed(spark, folder), list(names)))
         ruled = apply_rules(parsed, a.quality_rules(feed.AS_OF)[topic])
         return ruled.select("event_id", column, "_dq_flags")
 
@@ -237,27 +242,25 @@ def silver_clean(spark, folder):
 
 @query
 def dedup_events(spark, folder):
-    kept = a.first_copies(a.parse(landed(spark, folder)))
+    kept = a.first_copies(a.parse(landed(spark, folder), ["event_id", "event_type"]))
     return kept.select("event_id", "event_type", "_bronze_partition", "_bronze_offset")
 
 
 @query
 def dq_profile(spark, folder):
-    return flag_profile(silver(spark, folder))
+    return flag_profile(silver(spark, folder, "_dq_flags"))
 
 
 @query
 def dq_flag_counts(spark, folder):
-    return flag_counts(silver(spark, folder))
+    return flag_counts(silver(spark, folder, "_dq_flags"))
 
 
 @query
 def append_new_events(spark, folder):
     def cleaned(rows: DataFrame, load: int) -> DataFrame:
-        narrow = a.clean(rows, feed.AS_OF).select(
-            "event_id", "patient_id", "department", "_bronze_eventhub_ts", "_dq_flags"
-        )
-        return narrow.withColumn("load_no", F.lit(load))
+        columns = ["event_id", "patient_id", "department", "_bronze_eventhub_ts", "_dq_flags"]
+        return a.clean(rows, feed.AS_OF, columns).withColumn("load_no", F.lit(load))
 
     first = stage(cleaned(landed_batch(spark, folder, 1), 1), "silver")
     second = cleaned(landed(spark, folder), 2)
@@ -271,18 +274,18 @@ def append_new_events(spark, folder):
 def latest_events(spark, folder):
     columns = ["event_id", "event_timestamp", *a.TRACKED]
     return latest_per_key(
-        silver(spark, folder), "patient_id", ["event_timestamp", "event_id"], columns
+        silver(spark, folder, *PATIENT_INPUT), "patient_id", ["event_timestamp", "event_id"], columns
     )
 
 
 @query
 def row_fingerprint(spark, folder):
-    latest = a.latest_patients(silver(spark, folder))
+    latest = a.latest_patients(silver(spark, folder, *PATIENT_INPUT))
     return latest.withColumn("fingerprint", fingerprint(a.TRACKED))
 
 
 def first_load(spark, folder) -> DataFrame:
-    batch = a.clean(landed_batch(spark, folder, 1), feed.AS_OF)
+    batch = a.clean(landed_batch(spark, folder, 1), feed.AS_OF, PATIENT_INPUT)
     return a.patient_dimension(batch, feed.FIRST_LOAD)
 
 
@@ -294,7 +297,7 @@ def scd2_first_load(spark, folder):
 @query
 def scd2_second_load(spark, folder):
     before = stored(first_load(spark, folder), "dim_patient")
-    batch = a.clean(landed_batch(spark, folder, 2), feed.AS_OF)
+    batch = a.clean(landed_batch(spark, folder, 2), feed.AS_OF, PATIENT_INPUT)
     return a.patient_dimension(batch, feed.AS_OF, before)
 
 
@@ -303,22 +306,22 @@ def scd2_second_load(spark, folder):
 
 @query
 def dim_department(spark, folder):
-    return a.department_dimension(silver(spark, folder))
+    return a.department_dimension(silver(spark, folder, *DEPARTMENT_INPUT))
 
 
 @query
 def dim_date(spark, folder):
-    return a.date_dimension(silver(spark, folder))
+    return a.date_dimension(silver(spark, folder, *DATE_INPUT))
 
 
 @query
 def fact_events(spark, folder):
-    return Star(spark, folder).fact(numbered=True)
+    return Star(spark, folder, *a.SILVER.fieldNames()).fact()
 
 
 @query
 def dense_surrogate_key(spark, folder):
-    known = silver(spark, folder).select("diagnosis_code", "insurance_type").distinct()
+    known = silver(spark, folder, "diagnosis_code", "insurance_type").distinct()
     return dense_key(known, "profile_sk", ["diagnosis_code", "insurance_type"])
 
 
@@ -341,30 +344,30 @@ def department_view(departments: DataFrame) -> DataFrame:
 
 @query
 def v_dim_department(spark, folder):
-    star = Star(spark, folder, "department", "hospital_id", "hospital_name")
+    star = Star(spark, folder, *DEPARTMENT_INPUT)
     return department_view(loaded_twice(star.departments))
 
 
 @query
 def v_dim_date(spark, folder):
-    days = Star(spark, folder, "admission_time").dates
+    days = Star(spark, folder, *DATE_INPUT).dates
     return days.unionByName(days).distinct()
 
 
 @query
 def v_dim_patient(spark, folder):
-    columns = ("patient_id", "event_timestamp", "event_id", *a.TRACKED)
-    patients = Star(spark, folder, *columns).patients
+    patients = Star(spark, folder, *PATIENT_INPUT).patients
     return patients.unionByName(patients).distinct()
 
 
 @query
 def key_remap(spark, folder):
-    star = Star(spark, folder)
+    columns = ("event_id", "event_type", "department_sk")
+    star = Star(spark, folder, *DEPARTMENT_INPUT, *a.fact_inputs(columns))
     old = stage(loaded_twice(star.departments), "dim_department")
     new = stored(department_view(old), "dim_department")
     load = F.when(F.col("event_type") == "DISCHARGE", 1).otherwise(0)
-    fact = star.fact().select(
+    fact = star.fact(*columns).select(
         "event_id", (F.col("department_sk") * 10 + load).alias("department_sk")
     )
     pairs = stage(key_map(old, new, "department_sk", ["department", "hospital_id"]), "key_map")
@@ -376,7 +379,7 @@ def key_remap(spark, folder):
 
 @query
 def duplicate_key_check(spark, folder):
-    star = Star(spark, folder)
+    star = Star(spark, folder, *DEPARTMENT_INPUT, *DATE_INPUT, *PATIENT_INPUT)
     days, patients = star.dates, star.patients
     twice = stage(loaded_twice(star.departments), "dim_department")
     return duplicate_counts(
@@ -392,11 +395,12 @@ def duplicate_key_check(spark, folder):
 
 @query
 def table_row_counts(spark, folder):
-    star = Star(spark, folder)
+    columns = ("event_id", "patient_sk", "department_sk")
+    star = Star(spark, folder, *DEPARTMENT_INPUT, *DATE_INPUT, *PATIENT_INPUT)
     days, patients, departments = star.dates, star.patients, star.departments
     return row_counts(
         {
-            "fact_patient_flow": star.fact(),
+            "fact_patient_flow": star.fact(*columns),
             "dim_patient": patients,
             "dim_department": departments,
             "dim_date": days,
@@ -409,62 +413,66 @@ def table_row_counts(spark, folder):
 
 @query
 def table_preview(spark, folder):
-    fact = Star(spark, folder).fact().select(
+    columns = (
         "event_id", "event_type", "patient_id", "admission_date", "patient_sk", "department_sk"
-    )
-    return preview(fact, ["admission_date", "event_id"], 5)
+    )
+    star = Star(spark, folder, *DEPARTMENT_INPUT, *PATIENT_INPUT, *a.fact_inputs(columns))
+    return preview(star.fact(*columns), ["admission_date", "event_id"], 5)
 
 
 # ---- key figures -----------------------------------------------------------------------------
 
-_DEPARTMENT = ("event_id", "event_type", "department", "hospital_id", "hospital_name")
-_PATIENT = ("patient_id", "event_timestamp", *a.TRACKED)
-
 
 @query
 def kpi_occupancy(spark, folder):
-    star = Star(spark, folder)
-    return m.occupancy(star.fact(), star.departments)
+    columns = ("department_sk", "is_currently_admitted")
+    star = Star(spark, folder, *DEPARTMENT_INPUT, *a.fact_inputs(columns))
+    return m.occupancy(star.fact(*columns), star.departments)
 
 
 @query
 def kpi_open_stays(spark, folder):
-    star = Star(spark, folder, *_DEPARTMENT, "patient_id", "event_timestamp")
+    needed = ("event_id", "event_type", "patient_id", "event_timestamp")
+    star = Star(spark, folder, *DEPARTMENT_INPUT, *needed)
     return m.open_stays(star.silver, star.departments)
 
 
 @query
 def kpi_gender_by_department(spark, folder):
-    star = Star(spark, folder)
-    return m.gender_by_department(star.fact(), star.patients, star.departments)
+    columns = ("patient_sk", "department_sk")
+    star = Star(spark, folder, *DEPARTMENT_INPUT, *PATIENT_INPUT)
+    return m.gender_by_department(star.fact(*columns), star.patients, star.departments)
 
 
 @query
 def kpi_avg_stay(spark, folder):
-    star = Star(spark, folder)
-    return m.average_stay(star.fact(), star.departments)
+    columns = ("department_sk", "event_type", "length_of_stay_hrs")
+    star = Star(spark, folder, *DEPARTMENT_INPUT, *a.fact_inputs(columns))
+    return m.average_stay(star.fact(*columns), star.departments)
 
 
 @query
 def kpi_admissions_by_weekday(spark, folder):
-    star = Star(spark, folder)
-    return m.admissions_by_weekday(star.fact(), star.dates)
+    columns = ("event_type", "admission_date")
+    star = Star(spark, folder, *a.fact_inputs(columns))
+    return m.admissions_by_weekday(star.fact(*columns), star.dates)
 
 
 @query
 def kpi_admissions_by_priority(spark, folder):
-    return m.admissions_by_priority(silver(spark, folder))
+    return m.admissions_by_priority(silver(spark, folder, "event_type", "admission_priority"))
 
 
 @query
 def kpi_top_diagnoses(spark, folder):
-    return m.top_diagnoses(silver(spark, folder))
+    return m.top_diagnoses(silver(spark, folder, "diagnosis_code"))
 
 
 @query
 def kpi_avg_vitals(spark, folder):
-    star = Star(spark, folder)
-    return m.average_vitals(star.fact(), star.departments)
+    columns = ("department_sk", *m.VITALS)
+    star = Star(spark, folder, *DEPARTMENT_INPUT, *a.fact_inputs(columns))
+    return m.average_vitals(star.fact(*columns), star.departments)
 
 
 # ---- the whole chain -------------------------------------------------------------------------
