@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 
-from starflow.operators.joins import BROADCAST_ROWS, lookup_join
+from starflow.operators.joins import BROADCAST_BYTES, lookup_join
 from starflow.operators.keys import dense_key
 
 
@@ -28,7 +28,7 @@ def build_fact(
     spread_by: Sequence[str],
     key: str | None = None,
     order: Sequence[str] = (),
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Events with derived columns and the surrogate keys of their dimensions (NULL if none).
 
@@ -39,7 +39,7 @@ def build_fact(
     fact = events
     for one in lookups:
         keys = one.table.select(*one.on, one.surrogate)
-        fact = lookup_join(fact, keys, one.on, spread_by, broadcast_rows=broadcast_rows)
+        fact = lookup_join(fact, keys, one.on, spread_by, broadcast_bytes=broadcast_bytes)
     fact = fact.withColumns(dict(derived))
     if key is None:
         return fact.select(*columns)

@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows up to which a lookup table is sent to every executor. Callers pass narrow tables (keys and
-# a few attributes), so this is some tens of megabytes.
-BROADCAST_ROWS = 500_000
+# Bytes up to which a lookup table is sent to every executor.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 # Rows of one key that one task may get; more are spread over several tasks.
 ROWS_PER_TASK = 2_000_000
@@ -21,21 +20,32 @@ _SALT = "__salt"
 _SALTS = "__salts"
 
 
+def measured_bytes(table: DataFrame) -> int:
+    """Size of the rows of ``table``: its text as it is, sixteen bytes for any other value."""
+    text = [
+        F.coalesce(F.octet_length(f.name), F.lit(0)).cast("bigint")
+        for f in table.schema.fields
+        if f.dataType.typeName() in ("string", "binary", "varchar", "char")
+    ]
+    row = sum(text, F.lit(16 * len(table.columns)).cast("bigint"))
+    return table.agg(F.coalesce(F.sum(row), F.lit(0)).alias("bytes")).first()["bytes"]
+
+
 def lookup_join(
     left: DataFrame,
     table: DataFrame,
     on: Sequence[str],
     spread_by: Sequence[str],
     how: str = "left",
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Join ``left`` with a lookup table of unknown size.
+    """Join ``left`` with a lookup table of flat columns whose size is not known beforehand.
 
-    ``table`` is counted (it should be a stored table, then this reads footers only). If it is
-    small it is broadcast and ``left`` is not shuffled at all, else ``skew_join`` is used.
+    The table is measured; it should be a stored one. If it is small it is broadcast and ``left``
+    is not shuffled at all, so heavy keys do not matter. Else ``skew_join`` is used.
     """
-    if table.count() <= broadcast_rows:
+    if measured_bytes(table) <= broadcast_bytes:
         return left.join(F.broadcast(table), list(on), how)
     return skew_join(left, table, on, spread_by, how, rows_per_task)
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starflow.operators.joins import BROADCAST_ROWS, lookup_join
+from starflow.operators.joins import BROADCAST_BYTES, lookup_join
 from starflow.sources.tables import stage
 
 _PLACE = "__place"
@@ -60,14 +60,14 @@ def remap_keys(
     key: str,
     spread_by: Sequence[str],
     new_name: str = "new_key",
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``fact`` with the new key where ``pairs`` has one, else the old one.
 
     An old key with several new ones gives one row for each (see ``duplicate_counts``).
     """
     columns = fact.columns
-    joined = lookup_join(fact, pairs, [key], spread_by, broadcast_rows=broadcast_rows)
+    joined = lookup_join(fact, pairs, [key], spread_by, broadcast_bytes=broadcast_bytes)
     return joined.withColumn(key, F.coalesce(F.col(new_name), F.col(key))).select(*columns)
 
 

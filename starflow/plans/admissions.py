@@ -7,67 +7,129 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DateType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from starflow.functions.expressions import hours_between, instant, lookup
 from starflow.operators.dimensions import calendar_dimension, conformed_dimension
 from starflow.operators.facts import Lookup, build_fact
 from starflow.operators.history import latest_per_key, merge_history
-from starflow.operators.joins import BROADCAST_ROWS
+from starflow.operators.joins import BROADCAST_BYTES
 from starflow.operators.parsing import complete_schema, flatten, parse_json
 from starflow.operators.rules import Rule, apply_rules
 from starflow.operators.uniqueness import one_per_key
 
 AsOf = Column | datetime | str | None
 
+TEXT, WHOLE, KEY, REAL = StringType(), IntegerType(), LongType(), DoubleType()
+TIME, DAY, TRUTH = TimestampType(), DateType(), BooleanType()
+
+
+def schema_of(**types: DataType) -> StructType:
+    return StructType([StructField(name, type_) for name, type_ in types.items()])
+
+
 # The message format.
-VITAL_FIELDS = ["heart_rate", "bp_systolic", "bp_diastolic", "temperature_f", "oxygen_saturation"]
-MESSAGE = StructType.fromDDL(
-    "event_type string, event_id string, patient_id string, gender string, age int, "
-    "department string, hospital_id int, hospital_name string, bed_id string, "
-    "admission_time string, discharge_time string, expected_discharge_time string, "
-    "length_of_stay_hrs double, admission_priority string, diagnosis_code string, "
-    "insurance_type string, discharge_status string, "
-    "vitals struct<heart_rate: int, bp_systolic: int, bp_diastolic: int, "
-    "temperature_f: double, oxygen_saturation: int>, event_timestamp string"
+VITALS = schema_of(
+    heart_rate=WHOLE,
+    bp_systolic=WHOLE,
+    bp_diastolic=WHOLE,
+    temperature_f=REAL,
+    oxygen_saturation=WHOLE,
+)
+VITAL_FIELDS = VITALS.fieldNames()
+MESSAGE = schema_of(
+    event_type=TEXT,
+    event_id=TEXT,
+    patient_id=TEXT,
+    gender=TEXT,
+    age=WHOLE,
+    department=TEXT,
+    hospital_id=WHOLE,
+    hospital_name=TEXT,
+    bed_id=TEXT,
+    admission_time=TEXT,
+    discharge_time=TEXT,
+    expected_discharge_time=TEXT,
+    length_of_stay_hrs=REAL,
+    admission_priority=TEXT,
+    diagnosis_code=TEXT,
+    insurance_type=TEXT,
+    discharge_status=TEXT,
+    vitals=VITALS,
+    event_timestamp=TEXT,
 )
 INSTANTS = ("admission_time", "discharge_time", "expected_discharge_time", "event_timestamp")
 
-# Columns of the cleaned events.
-SILVER = StructType.fromDDL(
-    "event_type string, event_id string, patient_id string, gender string, age int, "
-    "department string, hospital_id int, hospital_name string, bed_id string, "
-    "admission_time timestamp, discharge_time timestamp, expected_discharge_time timestamp, "
-    "length_of_stay_hrs double, admission_priority string, diagnosis_code string, "
-    "insurance_type string, discharge_status string, "
-    "vitals struct<heart_rate: int, bp_systolic: int, bp_diastolic: int, "
-    "temperature_f: double, oxygen_saturation: int>, event_timestamp timestamp, "
-    "_bronze_eventhub_ts timestamp, _bronze_ingested_at timestamp, _dq_flags string, "
-    "_silver_processed_at timestamp"
+# The columns of the cleaned events: the message with typed times, and the audit columns.
+SILVER = schema_of(
+    **{f.name: TIME if f.name in INSTANTS else f.dataType for f in MESSAGE.fields},
+    _bronze_eventhub_ts=TIME,
+    _bronze_ingested_at=TIME,
+    _dq_flags=TEXT,
+    _silver_processed_at=TIME,
 )
 
 # Declared columns of the served tables.
-DIM_PATIENT = (
-    "patient_sk bigint, patient_id string, gender string, age int, insurance_type string, "
-    "effective_from timestamp, effective_to timestamp, is_current boolean"
+DIM_PATIENT = schema_of(
+    patient_sk=KEY,
+    patient_id=TEXT,
+    gender=TEXT,
+    age=WHOLE,
+    insurance_type=TEXT,
+    effective_from=TIME,
+    effective_to=TIME,
+    is_current=TRUTH,
 )
-DIM_DEPARTMENT = (
-    "department_sk bigint, department string, hospital_id int, hospital_name string, "
-    "bed_capacity int"
+DIM_DEPARTMENT = schema_of(
+    department_sk=KEY,
+    department=TEXT,
+    hospital_id=WHOLE,
+    hospital_name=TEXT,
+    bed_capacity=WHOLE,
 )
-DIM_DATE = (
-    "date_key date, year int, quarter int, month int, month_name string, day int, "
-    "day_of_week int, day_name string, is_weekend boolean"
+DIM_DATE = schema_of(
+    date_key=DAY,
+    year=WHOLE,
+    quarter=WHOLE,
+    month=WHOLE,
+    month_name=TEXT,
+    day=WHOLE,
+    day_of_week=WHOLE,
+    day_name=TEXT,
+    is_weekend=TRUTH,
 )
-FACT = (
-    "fact_id bigint, patient_sk bigint, department_sk bigint, event_type string, "
-    "event_id string, patient_id string, admission_date date, admission_time timestamp, "
-    "discharge_time timestamp, expected_discharge_time timestamp, length_of_stay_hrs double, "
-    "is_currently_admitted boolean, admission_priority string, diagnosis_code string, "
-    "discharge_status string, bed_id string, heart_rate int, bp_systolic int, "
-    "bp_diastolic int, temperature_f double, oxygen_saturation int, _gold_processed_at timestamp"
+FACT = schema_of(
+    fact_id=KEY,
+    patient_sk=KEY,
+    department_sk=KEY,
+    event_type=TEXT,
+    event_id=TEXT,
+    patient_id=TEXT,
+    admission_date=DAY,
+    admission_time=TIME,
+    discharge_time=TIME,
+    expected_discharge_time=TIME,
+    length_of_stay_hrs=REAL,
+    is_currently_admitted=TRUTH,
+    admission_priority=TEXT,
+    diagnosis_code=TEXT,
+    discharge_status=TEXT,
+    bed_id=TEXT,
+    **{f.name: f.dataType for f in VITALS.fields},
+    _gold_processed_at=TIME,
 )
-FACT_COLUMNS = tuple(StructType.fromDDL(FACT).fieldNames())
+FACT_COLUMNS = tuple(FACT.fieldNames())
 
 # Departments, their beds, and known wrong spellings.
 BED_CAPACITY = {
@@ -271,7 +333,7 @@ def patient_flow_fact(
     departments: DataFrame | None = None,
     as_of: AsOf = None,
     columns: Sequence[str] = FACT_COLUMNS,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """One fact per event, with the current version of its patient.
 
@@ -299,5 +361,5 @@ def patient_flow_fact(
         spread_by=["event_id"],
         key="fact_id" if "fact_id" in columns else None,
         order=["admission_date", "event_id"],
-        broadcast_rows=broadcast_rows,
+        broadcast_bytes=broadcast_bytes,
     )

@@ -2,9 +2,11 @@ from starflow.sources.broker import broker_options
 from starflow.sources.tables import (
     append_table,
     open_declared,
+    open_if_there,
     open_stream,
     open_table,
     register_views,
+    spread,
     stage,
     write_table,
 )
@@ -13,9 +15,11 @@ __all__ = [
     "append_table",
     "broker_options",
     "open_declared",
+    "open_if_there",
     "open_stream",
     "open_table",
     "register_views",
+    "spread",
     "stage",
     "write_table",
 ]
