@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starflow.llm import decontamination, packing, pii
+from starflow.llm import decontamination, near_duplicates, packing, pii
 from starflow.llm.common import table
 from starflow.session import use_utc
 
@@ -57,6 +57,11 @@ def op7_pii(spark, folder):
     )
 
 
+@query
+def op9_near_duplicates(spark, folder):
+    return near_duplicates.near_duplicates(table(spark, folder, "documents"))
+
+
 @query
 def op10_decontamination(spark, folder):
     found = decontamination.scan(
