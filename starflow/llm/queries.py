@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starflow.llm import decontamination, near_duplicates, packing, pii
+from starflow.llm import decontamination, line_dedup, near_duplicates, packing, pii
 from starflow.llm.common import table
 from starflow.session import use_utc
 
@@ -27,6 +27,13 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op2_line_dedup(spark, folder):
+    return line_dedup.dedup_lines(table(spark, folder, "documents")).select(
+        "doc_id", "n_lines", "n_kept", "text"
+    )
+
+
 @query
 def op5_packing(spark, folder):
     pieces = packing.decompose(table(spark, folder, "documents"), TOKENIZER)
