@@ -1,0 +1,42 @@
+"""Similar pairs between components, found by exact prefix filtering."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def pairs_apart(sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs ``a > b`` that may have a Jaccard similarity of ``percent`` and are apart.
+
+    ``sets`` has ``id`` and ``items``, an array of distinct numbers; ``roots`` has ``node, root``
+    for ids that are in a component already. A set can be similar to another only if both hold one
+    of the rarest items of each: with ``n`` items these are ``n - ceil(n * percent / 100) + 1``. So
+    items that many sets share are looked at only in sets that have little else, and of these most
+    are in one component. No similar pair is missed; the caller confirms the pairs.
+    """
+    posts = sets.select("id", F.size("items").alias("n"), F.explode("items").alias("item"))
+    often = posts.groupBy("item").agg(F.count(F.lit(1)).alias("freq")).filter(F.col("freq") > 1)
+    # One list per set, no longer than the set itself; items that nobody shares are its rarest.
+    shared = (
+        posts.join(often.hint("merge"), "item")
+        .groupBy("id", "n")
+        .agg(F.array_sort(F.collect_list(F.struct("freq", "item"))).alias("shared"))
+    )
+    needed = F.ceil(F.col("n") * percent / 100).cast("int")
+    prefix = shared.filter(F.size("shared") >= needed).select(
+        "id", "n", F.explode(F.slice("shared", F.lit(1), F.size("shared") - needed + 1)).alias("p")
+    )
+    prefix = prefix.join(roots.withColumnRenamed("node", "id").hint("merge"), "id", "left").select(
+        "id", "n", F.coalesce("root", "id").alias("root"), F.col("p.item").alias("item")
+    )
+    other = prefix.select(
+        "item", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b")
+    )
+    sizes = 100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")
+    return (
+        prefix.join(other.hint("merge"), "item")
+        .filter((F.col("id") > F.col("b")) & (F.col("root") != F.col("root_b")) & sizes)
+        .select(F.col("id").alias("a"), "b")
+        .distinct()
+    )

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from starflow.llm.common import by_size, in_batches, keep, texts_of
 from starflow.llm.components import components
+from starflow.llm.exact_pairs import pairs_apart
 
 WORDS = 5
 PERCENT = 75
@@ -34,7 +35,7 @@ COORDINATES = 64
 MATCHES = 32
 
 # Words of which a worker remembers the hash; beyond that it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 100_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -267,30 +268,36 @@ def _all_links(posts, signed, texts, size: int, percent: int, matches: int) -> D
     more = keep(confirmed(_apart(tested, roots), texts, size, percent), "near_links")
     links = links.unionByName(more)
     roots = keep(components(links), "near_roots")
-    # Every pair of members of one posting group that is still apart.
+    # Members of a posting group that are still apart: similar pairs among them are found by their
+    # rarest shingles, not by comparing all.
     named = posts.join(
         roots.withColumnRenamed("node", "id").hint("merge"), "id", "left"
     ).select("coordinate", "value", "id", F.coalesce("root", "id").alias("root"))
-    named = keep(named, "near_named")
     mixed = named.groupBy("coordinate", "value").agg(
         F.min("root").alias("low"), F.max("root").alias("high")
     )
     mixed = mixed.filter(F.col("low") != F.col("high")).select("coordinate", "value")
-    open_ = keep(named.join(mixed.hint("merge"), ["coordinate", "value"], "left_semi"), "near_open")
-    other = open_.select(
-        "coordinate", "value", F.col("id").alias("b"), F.col("root").alias("root_b")
-    )
-    rest = (
-        open_.join(other.hint("merge"), ["coordinate", "value"])
-        .filter((F.col("id") > F.col("b")) & (F.col("root") != F.col("root_b")))
-        .select(F.col("id").alias("a"), "b")
-        .distinct()
-        .join(stars.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
-    )
-    rest = keep(enough_matches(rest, signed, matches), "near_rest")
+    open_ = posts.join(mixed.hint("merge"), ["coordinate", "value"], "left_semi")
+    open_ = open_.select("id").distinct()
+    sets = keep(_sets(texts.join(open_.hint("merge"), "id", "left_semi"), size), "near_sets")
+    rest = pairs_apart(sets, roots, percent)
+    rest = keep(rest.join(stars.select("a", "b").hint("merge"), ["a", "b"], "left_anti"), "near_rest")
     return links.unionByName(keep(confirmed(rest, texts, size, percent), "near_links"))
 
 
+def _sets(texts: DataFrame, size: int) -> DataFrame:
+    """``id, items``: the shingle hashes of each text."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_hashes(text, size).astype(np.int64) for text in texts_of(batch)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "items"]
+            )
+
+    return texts.select("id", "text").mapInArrow(cut, "id bigint, items array<bigint>")
+
+
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """The pairs whose members are in different components."""
     a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
