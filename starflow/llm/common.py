@@ -83,3 +83,20 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> Iterator[str]:
     """The texts of a batch, NULL as the empty text, one at a time."""
     for value in batch.column(batch.schema.get_field_index(name)):
         yield value.as_py() or ""
+
+
+class Shared:
+    """A value of bounded size that is broadcast; each Python worker prepares it once."""
+
+    _ready: dict[str, object] = {}
+
+    def __init__(self, spark: SparkSession, value: object, prepare):
+        self.name, self.prepare = uuid.uuid4().hex, prepare
+        self.value = spark.sparkContext.broadcast(value)
+
+    def get(self):
+        """The prepared value; a worker holds only the one it used last."""
+        if self.name not in Shared._ready:
+            Shared._ready.clear()
+            Shared._ready[self.name] = self.prepare(self.value.value)
+        return Shared._ready[self.name]

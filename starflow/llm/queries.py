@@ -8,8 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starflow.llm import decontamination, line_dedup, near_duplicates, packing, pii
-from starflow.llm.common import table
+from starflow.llm import (
+    decontamination,
+    language_id,
+    line_dedup,
+    near_duplicates,
+    packing,
+    pii,
+    toxicity,
+)
+from starflow.llm.common import remainder, table
 from starflow.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +35,26 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_language_id(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
+    learned = language_id.fit(docs.filter(F.col("doc_id").isNotNull() & ~held_out))
+    found = language_id.identify(docs, learned)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op3_toxicity(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))
+    found = toxicity.score_toxicity(docs, table(spark, folder, "labels"), ~held_out)
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op2_line_dedup(spark, folder):
     return line_dedup.dedup_lines(table(spark, folder, "documents")).select(
