@@ -79,21 +79,21 @@ def shingle_hashes(text: str, size: int = WORDS) -> np.ndarray:
 
 
 @lru_cache(maxsize=4)
-def masks(k: int) -> np.ndarray:
-    """Each mask orders the hashes anew: the least ``hash ^ mask`` is one coordinate. The leading
-    bits differ, so that coordinates choose from different parts of a set."""
-    i = np.arange(k, dtype=np.uint64)
-    lead = max(1, (k - 1).bit_length())
-    low = _mixed((i + np.uint64(1)) * _STEP) >> np.uint64(lead)
-    return (i << np.uint64(64 - lead)) | low
+def orders(k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers that put the hashes in ``k`` orders: ``(hash ^ first) * second``, with odd factors."""
+    i = np.arange(1, 2 * k + 1, dtype=np.uint64)
+    drawn = _mixed(i * _STEP)
+    return drawn[:k], drawn[k:] | np.uint64(1)
 
 
 def signature(hashes: np.ndarray, k: int = COORDINATES) -> np.ndarray:
-    """``k`` minima. Long sets are taken in blocks, so memory is bounded."""
+    """The least of the hashes in each of ``k`` orders. Long sets are taken in blocks, so memory
+    is bounded."""
+    flips, factors = orders(k)
     least = np.full(k, np.iinfo(np.uint64).max)
-    for start in range(0, len(hashes), 4096):
-        block = hashes[start : start + 4096, None] ^ masks(k)[None, :]
-        np.minimum(least, block.min(axis=0), out=least)
+    for start in range(0, len(hashes), 2048):
+        block = (hashes[None, start : start + 2048] ^ flips[:, None]) * factors[:, None]
+        np.minimum(least, block.min(axis=1), out=least)
     return least
 
 

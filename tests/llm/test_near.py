@@ -73,16 +73,16 @@ def test_shingle_sets_have_the_right_size():
 
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(1)
-    for share in (0.5, 0.75, 0.9):
+    for share, size in ((0.5, 200), (0.75, 200), (0.9, 200), (0.75, 20), (0.75, 8)):
         agree = []
-        for _ in range(60):
-            both = rng.integers(0, 2**64, int(200 * share), np.uint64)
-            rest = rng.integers(0, 2**64, 2 * (100 - int(100 * share)), np.uint64)
+        for _ in range(200):
+            both = rng.integers(0, 2**64, int(size * share), np.uint64)
+            rest = rng.integers(0, 2**64, size - len(both), np.uint64)
             half = len(rest) // 2
             one, other = np.r_[both, rest[:half]], np.r_[both, rest[half:]]
             agree.append((near.signature(one) == near.signature(other)).mean())
         assert abs(np.mean(agree) - share) < 0.03
-        assert np.std(agree) < 0.08
+        assert np.std(agree) < 1.3 * np.sqrt(share * (1 - share) / 64)
 
 
 def test_components(spark):
