@@ -7,8 +7,8 @@ Pairs from the prefixes are counted over whole signatures, and those that reach
 confirmed on full shingle sets.
 
 No group is ever expanded into all pairs. First each posting group links its members to one of
-them, confirmed links become components, and only pairs that are still in different components
-are looked at after that.
+them, confirmed links become components, and only what is still in different components is
+looked at after that, in blocks.
 """
 
 from __future__ import annotations
@@ -22,9 +22,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starflow.llm.clusters import blocks, cluster_members, links_by_columns, open_edges
 from starflow.llm.common import by_size, in_batches, keep, texts_of
 from starflow.llm.components import components
-from starflow.llm.exact_pairs import pairs_apart
 
 WORDS = 5
 PERCENT = 75
@@ -34,6 +34,9 @@ PERCENT = 75
 COORDINATES = 64
 MATCHES = 32
 
+# Documents of one block where those that are still apart are compared.
+BLOCK = 512
+
 # Words of which a worker remembers the hash; beyond that it starts anew.
 REMEMBERED = 100_000
 
@@ -249,6 +252,7 @@ def _all_links(posts, signed, texts, size: int, percent: int, matches: int) -> D
         "value",
         F.col("least").bitwiseXOR(F.xxhash64("coordinate", "value")).alias("head"),
     )
+    heads = keep(heads, "near_heads")
     stars = (
         posts.join(heads.hint("merge"), ["coordinate", "value"])
         .filter(F.col("id") != F.col("head"))
@@ -268,21 +272,12 @@ def _all_links(posts, signed, texts, size: int, percent: int, matches: int) -> D
     more = keep(confirmed(_apart(tested, roots), texts, size, percent), "near_links")
     links = links.unionByName(more)
     roots = keep(components(links), "near_roots")
-    # Members of a posting group that are still apart: similar pairs among them are found by their
-    # rarest shingles, not by comparing all.
-    named = posts.join(
-        roots.withColumnRenamed("node", "id").hint("merge"), "id", "left"
-    ).select("coordinate", "value", "id", F.coalesce("root", "id").alias("root"))
-    mixed = named.groupBy("coordinate", "value").agg(
-        F.min("root").alias("low"), F.max("root").alias("high")
-    )
-    mixed = mixed.filter(F.col("low") != F.col("high")).select("coordinate", "value")
-    open_ = posts.join(mixed.hint("merge"), ["coordinate", "value"], "left_semi")
-    open_ = open_.select("id").distinct()
-    sets = keep(_sets(texts.join(open_.hint("merge"), "id", "left_semi"), size), "near_sets")
-    rest = pairs_apart(sets, roots, percent)
-    rest = keep(rest.join(stars.select("a", "b").hint("merge"), ["a", "b"], "left_anti"), "near_rest")
-    return links.unionByName(keep(confirmed(rest, texts, size, percent), "near_links"))
+    # Members of a posting group that are still apart are compared in blocks, on full sets.
+    tied = keep(open_edges(posts, heads, roots, ["coordinate", "value"]).distinct(), "near_open")
+    placed = keep(blocks(tied, BLOCK), "near_blocks")
+    sets = _sets(texts.join(placed.select("id").hint("merge"), "id", "left_semi"), size)
+    rows = cluster_members(keep(sets, "near_sets"), placed, roots)
+    return links.unionByName(keep(links_by_columns(rows, percent), "near_links"))
 
 
 def _sets(texts: DataFrame, size: int) -> DataFrame:
