@@ -314,4 +314,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     inner = docs.toDF(*[f"c{i}" for i in range(len(names))])
     key = f"c{names.index(id_col)}"
     gone = gone.select(F.col("__gone").alias(key)).distinct()
-    return by_size(inner, gone, [key], "left_anti").toDF(*names)
+    return by_size(inner, gone, [key], "left_anti").select(
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(names)]
+    )

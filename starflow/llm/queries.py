@@ -15,7 +15,10 @@ from starflow.llm import (
     near_duplicates,
     packing,
     pii,
+    quality,
+    top_k,
     toxicity,
+    url_filters,
 )
 from starflow.llm.common import remainder, table
 from starflow.session import use_utc
@@ -62,6 +65,90 @@ def op2_line_dedup(spark, folder):
     )
 
 
+# The pages have no fetch times and there is no block list, so both are read off the pages: every
+# page is a capture, and every page is a dated entry for its host, its site or its directory.
+FETCHED = "1704067200 + 60 * pmod(page_id * 104729, 525600)"
+LISTED = "1704067200 + 60 * pmod(page_id * 7919, 525600)"
+LISTED_PAGE = f"""
+    SELECT {LISTED} AS listed_at,
+           CASE length(url) % 3
+             WHEN 0 THEN host
+             WHEN 1 THEN regexp_replace(host, '^(www|m|blog)[.]', '')
+             ELSE concat(host, '/', split_part(substr(url, instr(url, '://') + 3), '/', 2), '/')
+           END AS pattern,
+           CASE WHEN url LIKE '%utm_source%' THEN 'remove' WHEN url LIKE '%?page%' THEN 'spam'
+                WHEN url LIKE '%#top' THEN 'adult' ELSE 'malware' END AS category
+    FROM (SELECT page_id, url, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host FROM {{pages}})
+"""
+
+
+@query
+def op4_url_filters(spark, folder):
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched_at", F.expr(FETCHED))
+    entries = spark.sql(LISTED_PAGE.format(pages="{pages}"), pages=pages)
+    return url_filters.judge(captures, entries)
+
+
+def _duck(sql: str) -> str:
+    """The same arithmetic for non-negative ids in DuckDB's words."""
+    return sql.replace("pmod(page_id * 104729, 525600)", "(page_id * 104729 % 525600)").replace(
+        "pmod(page_id * 7919, 525600)", "(page_id * 7919 % 525600)"
+    )
+
+
+ORACLE["op4_url_filters"] = f"""
+WITH entries AS ({_duck(LISTED_PAGE.format(pages="pages"))}),
+dated AS (SELECT pattern, listed_at, max(category) AS category FROM entries GROUP BY ALL),
+captures AS (
+    SELECT page_id, url, {_duck(FETCHED)} AS fetched_at,
+           lower(regexp_extract(url, '^[a-z]+://([^/?#]+)', 1)) AS host,
+           regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1) AS path
+    FROM pages
+),
+asked AS (
+    SELECT *, unnest(list_distinct(list_concat(
+        list_transform(range(1, greatest(len(string_split(host, '.')), 2)),
+                       lambda i: array_to_string(list_slice(string_split(host, '.'), i, 99), '.')),
+        list_transform(range(1, len(string_split(path, '/'))),
+                       lambda i: host || array_to_string(list_slice(string_split(path, '/'), 1, i), '/') || '/')
+    ))) AS pattern
+    FROM captures
+),
+active AS (
+    SELECT a.page_id, a.pattern, d.category, d.listed_at
+    FROM asked a ASOF JOIN dated d ON a.pattern = d.pattern AND a.fetched_at >= d.listed_at
+),
+best AS (
+    SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY length(pattern) DESC, pattern DESC) AS place
+    FROM active
+)
+SELECT c.page_id, c.url, c.fetched_at, c.host,
+       coalesce(b.category <> 'remove', false) AS blocked, b.pattern, b.category, b.listed_at
+FROM captures c LEFT JOIN (SELECT * FROM best WHERE place = 1) b USING (page_id)
+"""
+
+
+def site_columns():
+    """The site hierarchy of documents: the source, and each language of it."""
+    return F.col("source"), F.concat_ws("/", "source", "lang")
+
+
+@query
+def op6_quality(spark, folder):
+    docs = table(spark, folder, "documents")
+    found = quality.score_quality(docs, table(spark, folder, "labels"), *site_columns())
+    return found.select(
+        "doc_id", "evidence", "site", "score", (F.col("score") >= quality.LEAST).alias("kept")
+    )
+
+
+@query
+def op8_top_k(spark, folder):
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return top_k.top_k(vectors, F.col("vec_id") % 100 == 0)
+
+
 @query
 def op5_packing(spark, folder):
     pieces = packing.decompose(table(spark, folder, "documents"), TOKENIZER)
