@@ -19,8 +19,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     spark = edges.sparkSession
     links = _canonical(edges.select(F.col(a).alias("u"), F.col(b).alias("v")))
-    links, state, folder = _written(links)
-    while True:
+    links, folder = _written(links)
+    while not _are_stars(links):
         # Large star: every larger neighbour of a node goes to the least neighbour.
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
@@ -34,11 +34,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = _canonical(small.unionByName(least.select("u", F.col("m").alias("v"))))
-        before, old = state, folder
-        links, state, folder = _written(after)
+        old = folder
+        links, folder = _written(after)
         drop_folder(spark, old)
-        if state == before:
-            break
     roots = links.select(F.col("v").alias("node")).distinct()
     return links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         roots.select("node", F.col("node").alias("root"))
@@ -51,14 +49,14 @@ def _canonical(links: DataFrame) -> DataFrame:
     return kept.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
-def _written(links: DataFrame) -> tuple[DataFrame, tuple, str]:
-    """The links as a stored table, and a fingerprint of all of them."""
+def _are_stars(links: DataFrame) -> bool:
+    """Whether each node has one lesser neighbour or is such a neighbour, and not both."""
+    upper = links.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    lower = links.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    nodes = upper.unionByName(lower).groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.filter(F.col("up") + F.col("down") > 1).isEmpty()
+
+
+def _written(links: DataFrame) -> tuple[DataFrame, str]:
     folder = shared_folder(links.sparkSession, "components")
-    stored = keep(links, "components", folder)
-    mark = F.xxhash64("u", "v")
-    state = stored.agg(
-        F.count(F.lit(1)),
-        F.coalesce(F.sum(mark.bitwiseAND(F.lit(0xFFFFFFFF))), F.lit(0)),
-        F.coalesce(F.sum(F.shiftrightunsigned(mark, 32)), F.lit(0)),
-    ).first()
-    return stored, tuple(state), folder
+    return keep(links, "components", folder), folder
