@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 
 from starflow.operators.joins import BROADCAST_BYTES, lookup_join
-from starflow.operators.keys import dense_key
+from starflow.operators.keys import dense_key, ranges_of
 
 
 @dataclass(frozen=True)
@@ -43,4 +43,4 @@ def build_fact(
     fact = fact.withColumns(dict(derived))
     if key is None:
         return fact.select(*columns)
-    return dense_key(fact.select(*columns), key, order)
+    return dense_key(fact.select(*columns), key, order, ranges=ranges_of(events))

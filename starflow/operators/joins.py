@@ -13,9 +13,6 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # Rows of one key that one task may get; more are spread over several tasks.
 ROWS_PER_TASK = 2_000_000
 
-# Keys that are spread, heaviest first. All further keys have at most 1/10000 of the rows each.
-HOT_KEYS = 10_000
-
 _SALT = "__salt"
 _SALTS = "__salts"
 
@@ -57,14 +54,14 @@ def skew_join(
     spread_by: Sequence[str],
     how: str = "left",
     rows_per_task: int = ROWS_PER_TASK,
-    hot_keys: int = HOT_KEYS,
 ) -> DataFrame:
     """Shuffled ``left`` or ``inner`` equi-join in which heavy keys of ``left`` are split.
 
     Keys with more than ``rows_per_task`` rows get as many salts as they fill tasks, and the rows
     of ``right`` with such a key are copied once per salt. So copies grow with the number of
     tasks, not with ``right``. Rows with a NULL key match nothing; they are spread as well.
-    The result equals the plain join. ``spread_by`` are columns of ``left`` that differ between
+    All heavy keys are split. There are fewer of them than tasks of ``rows_per_task`` rows, which
+    bounds what is broadcast. The result equals the plain join. ``spread_by`` are columns of ``left`` that differ between
     the rows of one key. ``left`` is read twice: once to count its keys (pre-aggregated, keys
     only), once to join.
     """
@@ -77,8 +74,6 @@ def skew_join(
         .groupBy(*on)
         .agg(F.count(F.lit(1)).alias("__rows"))
         .filter(F.col("__rows") > rows_per_task)
-        .orderBy(F.desc("__rows"), *on)
-        .limit(hot_keys)
         .select(*on, F.ceil(F.col("__rows") / rows_per_task).cast("int").alias(_SALTS))
     )
     spread = F.xxhash64(*spread_by)

@@ -10,31 +10,54 @@ from pyspark.sql import functions as F
 from starflow.operators.joins import BROADCAST_BYTES, lookup_join
 from starflow.sources.tables import stage
 
+# Bytes of input that make one range.
+RANGE_BYTES = 256 * 1024 * 1024
+
+# Types that cannot be sorted by.
+UNORDERED = ("map", "variant")
+
 _PLACE = "__place"
 _PART = "__part"
 _BEFORE = "__before"
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
+def ranges_of(df: DataFrame) -> int:
+    """Ranges for a frame that is read from files, by their size; no job is run."""
+    read = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, int(str(read)) // RANGE_BYTES + 1)
+
+
 def dense_key(
-    df: DataFrame, name: str, order: Sequence[str], start: Column | int = 0
+    df: DataFrame,
+    name: str,
+    order: Sequence[str],
+    start: Column | int = 0,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Number the rows ``start + 1, start + 2, ...`` in ``order`` (ascending, NULLs first).
 
     Equals ``row_number()`` over the whole frame, but no task sees more than its range: the rows
     are range-partitioned and sorted, numbered within their partition, and shifted by the number
-    of rows in the partitions before. ``order`` must tell all rows apart; this also makes a value
-    that many rows share in the first column spread over several ranges.
+    of rows in the partitions before. Where ``order`` ties, the other columns decide, in their
+    order, so that only equal rows are interchangeable; a value that many rows share in the first
+    column is spread over several ranges as well. ``ranges`` is the number of partitions, by
+    default that of a shuffle; adaptive execution merges ranges but never splits one, so for a
+    large frame pass ``ranges_of`` the table it comes from.
 
     The numbered ranges are stored once. Range bounds are sampled, so a second evaluation could
     cut the ranges elsewhere, and the shift must belong to the same cut.
     """
     columns = df.columns
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered = [f.name for f in df.schema.fields if f.dataType.typeName() not in UNORDERED]
+    order = list(dict.fromkeys([*order, *ordered]))
+    parts = [ranges] if ranges else []
+    ranged = df.repartitionByRange(*parts, *order).sortWithinPartitions(*order)
     placed = stage(ranged.withColumn(_PLACE, F.monotonically_increasing_id()), "dense_key")
     placed = placed.withColumn(_PART, F.shiftright(_PLACE, _ROW_BITS))
     sizes = placed.groupBy(_PART).agg(F.count(F.lit(1)).alias("rows"))
-    # One row per range, so at most spark.sql.shuffle.partitions rows from here on.
+    # One row per range from here on.
     earlier = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select(
         _PART, F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias(_BEFORE)

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from starflow.functions.expressions import to_instant
 
@@ -31,7 +31,7 @@ def parse_json(
     """
     declared, options = schema, {}
     if unreadable:
-        declared = StructType(schema.fields).add(_BROKEN, "string")
+        declared = StructType([*schema.fields, StructField(_BROKEN, StringType())])
         options = {"columnNameOfCorruptRecord": _BROKEN}
     document = raw.withColumn(_DOC, F.from_json(F.col(text), declared, options))
     fields = [

@@ -8,12 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starflow.operators.parsing import mark_unusable
 from starflow.operators.uniqueness import new_rows_only
 from starflow.plans import admissions as a
 from starflow.sources.tables import (
     append_table,
     open_declared,
     open_if_there,
+    open_stream,
     stage,
     write_table,
 )
@@ -27,6 +29,10 @@ SERVED = {
 }
 
 
+# Columns of what silver cannot use.
+QUARANTINE = ("reason", "raw_json", "_bronze_partition", "_bronze_offset")
+
+
 @dataclass(frozen=True)
 class Store:
     """Where the tables of a chain live. Dimensions and facts get one folder per run."""
@@ -41,6 +47,10 @@ class Store:
     def silver(self) -> str:
         return f"{self.root}/silver/patient_flow"
 
+    def quarantine(self, batch: int) -> str:
+        """Each batch has a folder, which a repetition overwrites."""
+        return f"{self.root}/quarantine/patient_flow/batch={batch}"
+
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
 
@@ -57,29 +67,41 @@ def land_messages(
 
 
 def load_silver(spark: SparkSession, store: Store, as_of: a.AsOf) -> None:
-    """Append the cleaned events that silver does not have yet.
+    """Append the cleaned events that silver does not have yet, and set unusable ones aside.
 
-    Micro-batches land one after the other, so what landed before the newest message in silver is
-    in silver; the bound reaches the scan and skips those files. The time of the newest message
-    itself is read again, and the comparison of ids leaves out what is there.
+    Bronze is read as a stream with a checkpoint of its own, so each landed file is taken once,
+    whatever its times say. A batch that is repeated after a failure adds nothing, as the ids in
+    silver are left out.
     """
-    landed = open_declared(spark, store.bronze, LANDED_SCHEMA)
-    known = open_if_there(spark, store.silver, a.SILVER)
-    if known is None:
-        append_table(a.clean(landed, as_of), store.silver)
-        return
-    newest = known.agg(F.max("_bronze_ingested_at").alias("at")).first()["at"]
-    if newest is not None:
-        landed = landed.filter(F.col("ingested_at") >= F.lit(newest))
-    # Stored first, as the files it is compared with are in the folder it is appended to.
-    fresh = new_rows_only(a.clean(landed, as_of), known, "event_id")
-    append_table(stage(fresh, "silver_batch"), store.silver)
+    landed = open_stream(spark, "parquet", {}, LANDED_SCHEMA, store.bronze)
+
+    def add(batch: DataFrame, number: int) -> None:
+        unusable = mark_unusable(a.parse(batch, unreadable="unreadable"), "event_id", "unreadable")
+        unusable = unusable.filter(F.col("reason").isNotNull())
+        write_table(unusable.select(*QUARANTINE), store.quarantine(number))
+        fresh = a.clean(batch, as_of)
+        known = open_if_there(batch.sparkSession, store.silver, a.SILVER)
+        if known is not None:
+            # Stored first, as the files it is compared with are in the folder it is appended to.
+            fresh = stage(new_rows_only(fresh, known, "event_id"), "silver_batch")
+        append_table(fresh, store.silver)
+
+    (
+        landed.writeStream.queryName("silver_patient_flow")
+        .foreachBatch(add)
+        .option("checkpointLocation", store.checkpoint("silver"))
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
 
 
 def load_gold(
     spark: SparkSession, store: Store, run: str, as_of: a.AsOf, before: str | None = None
 ) -> dict[str, DataFrame]:
     """Write the star schema of ``run``; patient history goes on from the run ``before``."""
+    if before == run:
+        raise ValueError("a run cannot overwrite the dimension that it reads")
     silver = open_declared(spark, store.silver, a.SILVER)
     past = None
     if before is not None:
@@ -106,8 +128,12 @@ def run_chain(
     run: str,
     as_of: a.AsOf = None,
     before: str | None = None,
+    ingested_at: a.AsOf = None,
 ) -> Mapping[str, DataFrame]:
-    """Bronze, silver, gold, one after the other; an error ends the chain where it occurs."""
-    land_messages(store, messages, lineage, as_of)
+    """Bronze, silver, gold, one after the other; an error ends the chain where it occurs.
+
+    ``ingested_at`` is only recorded (the time of landing if not given); the rules use ``as_of``.
+    """
+    land_messages(store, messages, lineage, ingested_at)
     load_silver(spark, store, as_of)
     return load_gold(spark, store, run, as_of, before)

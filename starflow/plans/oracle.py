@@ -11,6 +11,7 @@ def case_of(position: str, values: list[str]) -> str:
     return f"CASE CAST({position} AS INT) {arms} END"
 
 
+# Department names, their spelling variants and their beds.
 VARIANTS = [
     ("Emergency", ["Emergancy", "Emergncy", "ER", "EMERGENCY"]),
     ("Surgery", ["Surgey", "Surgeyr", "SURGERY"]),
@@ -53,14 +54,14 @@ feed AS (
     CASE WHEN n % 53 = 0 THEN NULL ELSE concat('P', u) END AS patient_id,
     CASE WHEN n % 59 = 0 THEN NULL WHEN u % 2 = 0 THEN 'Female' ELSE 'Male' END AS gender,
     CAST(CASE WHEN n % 25 = 0 THEN
-           CASE CAST((n // 25) % 6 AS INT) WHEN 0 THEN -5 WHEN 1 THEN -1 WHEN 2 THEN 0
-                WHEN 3 THEN 125 WHEN 4 THEN 150 ELSE 200 END
+           CASE CAST((n // 25) % 6 AS INT) WHEN 0 THEN -1 WHEN 1 THEN 0 WHEN 2 THEN 1
+                WHEN 3 THEN 119 WHEN 4 THEN 120 ELSE 121 END
          ELSE 20 + u % 60 END AS INT) AS age,
     CASE WHEN n % 67 = 0 THEN NULL WHEN n % 71 = 0 THEN 'Radiology'
          WHEN n % 33 = 0 THEN {case_of("(n // 33) % 22", WRONG)} ELSE dept0 END AS department,
     CAST(CASE WHEN n % 50 = 0 THEN
-           CASE CAST((n // 50) % 4 AS INT) WHEN 0 THEN -1 WHEN 1 THEN 0 WHEN 2 THEN 99
-                ELSE 999 END
+           CASE CAST((n // 50) % 4 AS INT) WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 7
+                ELSE 8 END
          ELSE hosp0 END AS INT) AS hospital_id,
     CASE WHEN n % 50 = 0 THEN 'UNKNOWN' ELSE concat('Hospital ', hosp0) END AS hospital_name,
     concat('H', hosp0, '-', upper(substring(dept0, 1, 3)), '-', 1 + n % 20) AS bed_id,
@@ -72,15 +73,15 @@ feed AS (
     CAST(CASE WHEN arriving THEN NULL WHEN n % 37 = 0 THEN -(1 + n % 96)
               ELSE 1 + n % 96 END AS DOUBLE) AS length_of_stay_hrs,
     CASE WHEN arriving THEN
-      {case_of("n % 4", ["Emergency", "Urgent", "Scheduled", "Transfer"])} END
+      {case_of("n % 4", ["P1", "P2", "P3", "P4"])} END
       AS admission_priority,
     CASE WHEN n % 73 = 0 THEN NULL ELSE concat('D', u % 7, '.', n % 4) END AS diagnosis_code,
     {case_of(f"(u + CASE WHEN u % 3 = 0 AND ts >= {FIRST} THEN 1 ELSE 0 END) % 5",
-             ["Private", "Medicare", "Medicaid", "Self-Pay", "Employer-Sponsored"])}
+             ["plan A", "plan B", "plan C", "plan D", "none"])}
       AS insurance_type,
     CASE WHEN NOT arriving THEN
       {case_of("n % 4",
-               ["Discharged-Home", "Discharged-Transfer", "Discharged-AMA", "Deceased"])} END
+               ["home", "other ward", "other house", "unknown"])} END
       AS discharge_status,
     CAST(60 + n % 60 AS INT) AS heart_rate, CAST(90 + n % 70 AS INT) AS bp_systolic,
     CAST(65 + n % 26 AS INT) AS bp_diastolic,
@@ -237,12 +238,27 @@ STAR = (
 TWICE = """, twice AS (
   SELECT department_sk * 10 + load AS department_sk, department, hospital_id, hospital_name,
          bed_capacity
-  FROM departments CROSS JOIN (VALUES (0), (1)) loads(load) WHERE bed_capacity IS NOT NULL),
+  FROM departments CROSS JOIN (VALUES (0), (1)) loads(load)),
 rekeyed AS (
-  SELECT row_number() OVER (ORDER BY department, hospital_id) AS department_sk, *
+  SELECT row_number() OVER (ORDER BY department NULLS FIRST, hospital_id NULLS FIRST,
+           hospital_name NULLS FIRST, bed_capacity NULLS FIRST) AS department_sk, *
   FROM (SELECT DISTINCT department, hospital_id, hospital_name, bed_capacity FROM twice))"""
 
 
+VIEWS = (
+    STAR
+    + TWICE
+    + """, pairs AS (
+  SELECT DISTINCT o.department_sk AS old_sk, r.department_sk AS new_sk
+  FROM twice o JOIN rekeyed r ON o.department = r.department AND o.hospital_id = r.hospital_id),
+v_fact_patient_flow AS (
+  SELECT f.* REPLACE (CAST(coalesce(m.new_sk, f.department_sk * 10
+      + CASE WHEN f.event_type = 'DISCHARGE' THEN 1 ELSE 0 END) AS BIGINT) AS department_sk)
+  FROM fact f LEFT JOIN pairs m ON m.old_sk = f.department_sk * 10
+    + CASE WHEN f.event_type = 'DISCHARGE' THEN 1 ELSE 0 END)"""
+)
+
+
 def select(ctes: str, body: str) -> str:
     return f"WITH {ctes.strip().lstrip(',')} {body}"
 
@@ -421,6 +437,49 @@ ORACLE: dict[str, str] = {
                    ON o.department = r.department AND o.hospital_id = r.hospital_id) m
         ON f.old_sk = m.old_sk""",
     ),
+    "v_fact_patient_flow": select(VIEWS, "SELECT * FROM v_fact_patient_flow"),
+    "view_row_counts": select(
+        VIEWS,
+        """SELECT 'v_dim_department' AS table_name, count(*) AS row_count FROM rekeyed
+        UNION ALL SELECT 'v_dim_date', count(*) FROM days
+        UNION ALL SELECT 'v_dim_patient', count(*) FROM patients
+        UNION ALL SELECT 'v_fact_patient_flow', count(*) FROM v_fact_patient_flow""",
+    ),
+    "preview_v_fact_patient_flow": select(
+        VIEWS, "SELECT * FROM v_fact_patient_flow ORDER BY admission_date, event_id LIMIT 5"
+    ),
+    "preview_v_dim_patient": select(VIEWS, "SELECT * FROM patients ORDER BY patient_sk LIMIT 5"),
+    "preview_v_dim_department": select(
+        VIEWS, "SELECT * FROM rekeyed ORDER BY department_sk LIMIT 5"
+    ),
+    "preview_v_dim_date": select(VIEWS, "SELECT * FROM days ORDER BY date_key LIMIT 5"),
+    "view_occupancy": select(
+        VIEWS,
+        """SELECT d.department, d.hospital_name, CAST(d.bed_capacity AS INT) AS bed_capacity,
+          count(*) FILTER (WHERE f.is_currently_admitted) AS occupied_beds,
+          CAST(count(*) FILTER (WHERE f.is_currently_admitted) AS DOUBLE)
+            / d.bed_capacity * 100 AS occupancy_pct
+        FROM v_fact_patient_flow f JOIN rekeyed d ON f.department_sk = d.department_sk
+        GROUP BY d.department, d.hospital_name, d.bed_capacity""",
+    ),
+    "view_gender_by_department": select(
+        VIEWS,
+        """SELECT d.department, p.gender, count(*) AS events
+        FROM v_fact_patient_flow f JOIN rekeyed d ON f.department_sk = d.department_sk
+        JOIN patients p ON f.patient_sk = p.patient_sk GROUP BY d.department, p.gender""",
+    ),
+    "view_avg_stay": select(
+        VIEWS,
+        """SELECT d.department, round(avg(f.length_of_stay_hrs), 2) AS avg_stay_hrs
+        FROM v_fact_patient_flow f JOIN rekeyed d ON f.department_sk = d.department_sk
+        WHERE f.event_type = 'DISCHARGE' GROUP BY d.department""",
+    ),
+    "view_admissions_by_weekday": select(
+        VIEWS,
+        """SELECT d.day_name, d.is_weekend, count(*) AS admissions
+        FROM v_fact_patient_flow f JOIN days d ON f.admission_date = d.date_key
+        WHERE f.event_type = 'ADMISSION' GROUP BY d.day_name, d.is_weekend""",
+    ),
     "duplicate_key_check": select(
         STAR + TWICE,
         """SELECT 'dim_date duplicates' AS check_name,
@@ -524,6 +583,15 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'dim_department', count(*) FROM departments
         UNION ALL SELECT 'dim_date', count(*) FROM days""",
     ),
+    "chained_second_load": select(
+        STAR,
+        """SELECT 'bronze' AS table_name, count(*) AS row_count FROM coordinates
+        UNION ALL SELECT 'silver', count(*) FROM clean
+        UNION ALL SELECT 'fact_patient_flow', count(*) FROM fact
+        UNION ALL SELECT 'patient_keys', count(*) FROM patients
+        UNION ALL SELECT 'current_patients', count(*) FROM patients
+        UNION ALL SELECT 'dim_department', count(*) FROM departments""",
+    ),
     "dim_date_orders": select(days("orders", "o_orderdate"), "SELECT * FROM days"),
     "latest_order_per_customer": """
         SELECT o_custkey, o_orderkey, CAST(o_orderdate AS TIMESTAMP) AS o_orderdate,
@@ -552,8 +620,11 @@ ORACLE: dict[str, str] = {
           count(*) AS orders FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2""",
     "dense_key_lineitem": """
         SELECT row_number() OVER (ORDER BY l_orderkey NULLS FIRST, l_linenumber NULLS FIRST,
-            l_partkey NULLS FIRST, l_suppkey NULLS FIRST) AS line_sk,
+            l_partkey NULLS FIRST, l_suppkey NULLS FIRST, l_quantity NULLS FIRST) AS line_sk,
           l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem""",
+    "lineitem_supplier_keys": """
+        SELECT l_suppkey AS s_suppkey, l_orderkey, l_linenumber, l_partkey, s_name, s_nationkey
+        FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey""",
     "lineitem_order_keys": """
         SELECT l_orderkey AS o_orderkey, l_linenumber, l_partkey, l_suppkey, o_custkey,
           CAST(o_orderdate AS TIMESTAMP) AS o_orderdate

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starflow.functions.expressions import fingerprint, percent_of
+from starflow import admissions_feed as feed
 from starflow.operators import (
     apply_rules,
     calendar_dimension,
@@ -31,15 +32,13 @@ from starflow.operators import (
 from starflow.operators import measures as m
 from starflow.plans import admissions as a
 from starflow.plans.medallion import SERVED, Store, run_chain
-from starflow.session import new_folder, use_utc
-from starflow.sources import admissions_feed as feed
+from starflow.session import new_folder, use_settings
 from starflow.sources.tables import (
     append_table,
     open_declared,
     open_stream,
     open_table,
     register_views,
-    spread,
     stage,
     write_table,
 )
@@ -51,7 +50,7 @@ QUERIES: dict[str, Query] = {}
 
 def query(function: Query, name: str | None = None) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return function(use_utc(spark), folder)
+        return function(use_settings(spark), folder)
 
     QUERIES[name or function.__name__] = run
     return function
@@ -77,7 +76,7 @@ def arriving_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, folder: str) -> DataFrame:
-    return feed.admission_messages(spread(table(spark, folder, "events"), "event_id"))
+    return feed.admission_messages(table(spark, folder, "events"))
 
 
 def landed(spark: SparkSession, folder: str) -> DataFrame:
@@ -327,9 +326,8 @@ def dense_surrogate_key(spark, folder):
 
 def loaded_twice(departments: DataFrame) -> DataFrame:
     """The department table as two loads with keys of their own left it."""
-    known = departments.filter(F.col("bed_capacity").isNotNull())
     loads = F.explode(F.array(F.lit(0), F.lit(1)))
-    return known.withColumn("load", loads).select(
+    return departments.withColumn("load", loads).select(
         (F.col("department_sk") * 10 + F.col("load")).alias("department_sk"),
         "department", "hospital_id", "hospital_name", "bed_capacity",
     )
@@ -374,6 +372,105 @@ def key_remap(spark, folder):
     return remap_keys(fact, pairs, "department_sk", spread_by=["event_id"])
 
 
+def served_views(spark, folder) -> dict[str, DataFrame]:
+    """The four views over tables that were loaded twice, registered under their names.
+
+    Arrivals carry the department keys of the first load and departures those of the second; the
+    fact view puts the key of the department view in their place and has all columns.
+    """
+    star = Star(spark, folder, *a.SILVER.fieldNames())
+    old = stage(loaded_twice(star.departments), "dim_department")
+    departments = stored(department_view(old), "dim_department")
+    load = F.when(F.col("event_type") == "DISCHARGE", 1).otherwise(0)
+    fact = star.fact().withColumn("department_sk", F.col("department_sk") * 10 + load)
+    pairs = stage(key_map(old, departments, "department_sk", ["department", "hospital_id"]), "key_map")
+    views = {
+        "v_dim_department": departments,
+        "v_dim_date": stage(star.dates.unionByName(star.dates).distinct(), "dim_date"),
+        "v_dim_patient": stage(star.patients.unionByName(star.patients).distinct(), "dim_patient"),
+        "v_fact_patient_flow": stage(
+            remap_keys(fact, pairs, "department_sk", spread_by=["event_id"]), "fact_patient_flow"
+        ),
+    }
+    register_views(views)
+    return views
+
+
+@query
+def v_fact_patient_flow(spark, folder):
+    return served_views(spark, folder)["v_fact_patient_flow"]
+
+
+@query
+def view_row_counts(spark, folder):
+    return row_counts(served_views(spark, folder))
+
+
+def previewed(view: str, order: list[str]) -> Query:
+    def show(spark, folder):
+        return preview(served_views(spark, folder)[view], order, 5)
+
+    return query(show, f"preview_{view}")
+
+
+previewed("v_fact_patient_flow", ["admission_date", "event_id"])
+previewed("v_dim_patient", ["patient_sk"])
+previewed("v_dim_department", ["department_sk"])
+previewed("v_dim_date", ["date_key"])
+
+
+@query
+def view_occupancy(spark, folder):
+    """The occupancy figure in SQL over the registered views."""
+    served_views(spark, folder)
+    return spark.sql(
+        """
+        SELECT d.department, d.hospital_name, d.bed_capacity,
+               count_if(f.is_currently_admitted) AS occupied_beds,
+               count_if(f.is_currently_admitted) / d.bed_capacity * 100 AS occupancy_pct
+        FROM v_fact_patient_flow f JOIN v_dim_department d ON f.department_sk = d.department_sk
+        GROUP BY d.department, d.hospital_name, d.bed_capacity
+        """
+    )
+
+
+@query
+def view_gender_by_department(spark, folder):
+    served_views(spark, folder)
+    return spark.sql(
+        """
+        SELECT d.department, p.gender, count(*) AS events
+        FROM v_fact_patient_flow f JOIN v_dim_department d ON f.department_sk = d.department_sk
+             JOIN v_dim_patient p ON f.patient_sk = p.patient_sk
+        GROUP BY d.department, p.gender
+        """
+    )
+
+
+@query
+def view_avg_stay(spark, folder):
+    served_views(spark, folder)
+    return spark.sql(
+        """
+        SELECT d.department, round(avg(f.length_of_stay_hrs), 2) AS avg_stay_hrs
+        FROM v_fact_patient_flow f JOIN v_dim_department d ON f.department_sk = d.department_sk
+        WHERE f.event_type = 'DISCHARGE' GROUP BY d.department
+        """
+    )
+
+
+@query
+def view_admissions_by_weekday(spark, folder):
+    served_views(spark, folder)
+    return spark.sql(
+        """
+        SELECT d.day_name, d.is_weekend, count(*) AS admissions
+        FROM v_fact_patient_flow f JOIN v_dim_date d ON f.admission_date = d.date_key
+        WHERE f.event_type = 'ADMISSION' GROUP BY d.day_name, d.is_weekend
+        """
+    )
+
+
 # ---- checks ----------------------------------------------------------------------------------
 
 
@@ -483,8 +580,9 @@ def chained_load(spark, folder):
     arriving = arriving_events(spark, folder)
     store = Store(new_folder(spark, "chained_load"))
     served = run_chain(
-        spark, store, feed.admission_messages(arriving), feed.LINEAGE, "1", feed.AS_OF
-    )
+        spark, store, feed.admission_messages(arriving), feed.LINEAGE, "1", feed.AS_OF,
+        ingested_at=feed.AS_OF,
+    )
     return row_counts(
         {
             "bronze": open_declared(spark, store.bronze, LANDED_SCHEMA),
@@ -494,6 +592,37 @@ def chained_load(spark, folder):
     )
 
 
+@query
+def chained_second_load(spark, folder):
+    """Two loads of one chain; the second batch is landed at an earlier time than the first, and a
+    third run finds nothing new."""
+    store = Store(new_folder(spark, "chained_second_load"))
+    sent = table(spark, folder, "events")
+    inbox = f"{store.root}/inbox"
+    served = None
+    for run, (batch, landed_at, as_of) in enumerate(
+        [(1, feed.AS_OF, feed.FIRST_LOAD), (2, feed.FIRST_LOAD, feed.AS_OF), (None, feed.AS_OF, feed.AS_OF)]
+    ):
+        if batch:
+            append_table(feed.admission_messages(sent).filter(F.col("batch") == batch), inbox)
+        arriving = open_stream(spark, "parquet", {}, spark.read.parquet(inbox).schema, inbox)
+        served = run_chain(
+            spark, store, arriving, feed.LINEAGE, str(run), as_of, str(run - 1) if run else None,
+            landed_at,
+        )
+    patients = served["dim_patient"]
+    return row_counts(
+        {
+            "bronze": open_declared(spark, store.bronze, LANDED_SCHEMA),
+            "silver": open_declared(spark, store.silver, a.SILVER),
+            "fact_patient_flow": served["fact_patient_flow"],
+            "patient_keys": patients.select("patient_id").distinct(),
+            "current_patients": patients.filter("is_current"),
+            "dim_department": served["dim_department"],
+        }
+    )
+
+
 # ---- the same operators on other tables ------------------------------------------------------
 
 
@@ -567,6 +696,18 @@ def dense_key_lineitem(spark, folder):
     return dense_key(rows, "line_sk", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
 
 
+@query
+def lineitem_supplier_keys(spark, folder):
+    """Every supplier is a heavy key here, so all rows go through the split join."""
+    lines = table(spark, folder, "lineitem").select(
+        F.col("l_suppkey").alias("s_suppkey"), "l_orderkey", "l_linenumber", "l_partkey"
+    )
+    suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    return skew_join(
+        lines, suppliers, ["s_suppkey"], ["l_orderkey", "l_linenumber"], "left", rows_per_task=20
+    )
+
+
 @query
 def lineitem_order_keys(spark, folder):
     lines = table(spark, folder, "lineitem").select(

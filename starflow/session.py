@@ -21,6 +21,8 @@ SETTINGS = {
     "spark.sql.parquet.filterPushdown": "true",
 }
 
+_MADE: list[str] = []
+
 
 def build_session(app: str = "starflow", master: str | None = None, **extra: str) -> SparkSession:
     """A session with the settings above. ``extra`` keys use ``__`` for the dots."""
@@ -34,6 +36,14 @@ def build_session(app: str = "starflow", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
+def use_settings(spark: SparkSession) -> SparkSession:
+    """Apply the settings above to a session that somebody else has built."""
+    for name, value in SETTINGS.items():
+        if spark.conf.get(name, None) != value:
+            spark.conf.set(name, value)
+    return spark
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """Event times are zone-less UTC text, so the session must read them as UTC."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
@@ -42,7 +52,8 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a scratch folder only when running on one machine."""
+    """The folder that ``spark.checkpoint.dir`` names, which all executors share. Where it is unset
+    on one machine, as in tests, a scratch folder is made and set; on a cluster that is an error."""
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if root:
         return root.rstrip("/")
@@ -55,4 +66,18 @@ def shared_root(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other run uses."""
-    return f"{shared_root(spark)}/{name}/run={uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{name}/run={uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the folders that ``new_folder`` has named in this process so far; their number.
+
+    For the end of a run: frames that were staged cannot be read after it.
+    """
+    count = 0
+    while _MADE:
+        target = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        count += target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return count

@@ -1,4 +1,4 @@
-from starflow.sources.broker import broker_options
+from starflow.sources.broker import broker_options, open_broker
 from starflow.sources.tables import (
     append_table,
     open_declared,
@@ -6,7 +6,6 @@ from starflow.sources.tables import (
     open_stream,
     open_table,
     register_views,
-    spread,
     stage,
     write_table,
 )
@@ -14,12 +13,12 @@ from starflow.sources.tables import (
 __all__ = [
     "append_table",
     "broker_options",
+    "open_broker",
     "open_declared",
     "open_if_there",
     "open_stream",
     "open_table",
     "register_views",
-    "spread",
     "stage",
     "write_table",
 ]

@@ -61,15 +61,6 @@ def with_instants(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp") for c in local}) if local else df
 
 
-def spread(df: DataFrame, by: str) -> DataFrame:
-    """Deal out a scan that comes in fewer pieces than there are cores, such as one small file.
-
-    A scan of many files or row groups is left alone: there a shuffle would only cost.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, by) if df.rdd.getNumPartitions() < cores else df
-
-
 def append_table(df: DataFrame, path: str, format: str = "parquet") -> str:
     df.write.format(format).mode("append").save(path)
     return path

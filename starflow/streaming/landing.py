@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from starflow.functions.expressions import instant
 
+# The landed columns.
 LANDED_SCHEMA = (
     "event_key string, raw_json string, topic string, partition int, offset bigint, "
     "eventhub_timestamp timestamp, ingested_at timestamp, source_file string"
