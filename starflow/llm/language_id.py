@@ -28,8 +28,11 @@ GRAM_SHARE = 1e-5
 LONGEST = 4
 
 # Entries that a worker counts before it passes them on, and unknown words that it remembers.
-COUNTED = 200_000
-REMEMBERED = 100_000
+COUNTED = 400_000
+REMEMBERED = 400_000
+
+# Words of a text that are looked up at once; fewer than a worker remembers.
+PART = 100_000
 
 _RUN = re.compile(r"[^\W\d_]+")
 _LETTERS = regex.compile(r"\p{L}+")
@@ -43,24 +46,36 @@ def words_of(text: str) -> list[str]:
     return [part for word in words for part in _LETTERS.findall(word)]
 
 
-def grams_of(word: str, longest: int = LONGEST) -> Iterator[str]:
+def grams_of(word: str, longest: int = LONGEST) -> list[str]:
     """All n-grams of the word between boundary marks."""
     padded = f"^{word}$"
-    for n in range(1, longest + 1):
-        for i in range(len(padded) - n + 1):
-            yield padded[i : i + n]
-
-
-def _counted(counts: Counter) -> pa.RecordBatch:
-    pairs = list(counts)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([lang for lang, _ in pairs], pa.string()),
-            pa.array([item for _, item in pairs], pa.string()),
-            pa.array(list(counts.values()), pa.int64()),
-        ],
-        names=["lang", "item", "n"],
-    )
+    size = len(padded) + 1
+    return [padded[i : i + n] for n in range(1, longest + 1) for i in range(size - n)]
+
+
+class _Tally:
+    """Counts by language, passed on whenever there are too many of them."""
+
+    def __init__(self):
+        self.by_lang: dict[str, Counter] = {}
+
+    def of(self, lang: str) -> Counter:
+        return self.by_lang.setdefault(lang, Counter())
+
+    def full(self) -> bool:
+        return sum(map(len, self.by_lang.values())) > COUNTED
+
+    def taken(self) -> pa.RecordBatch:
+        langs, items, counts = [], [], []
+        for lang, counter in self.by_lang.items():
+            langs += [lang] * len(counter)
+            items += counter.keys()
+            counts += counter.values()
+        self.by_lang = {}
+        return pa.RecordBatch.from_arrays(
+            [pa.array(langs, pa.string()), pa.array(items, pa.string()), pa.array(counts, pa.int64())],
+            names=["lang", "item", "n"],
+        )
 
 
 _COUNTS = "lang string, item string, n bigint"
@@ -72,15 +87,13 @@ def word_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        tally = _Tally()
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), texts_of(batch)):
-                for word, n in Counter(words_of(text)).items():
-                    counts[lang, word] += n
-                if len(counts) > COUNTED:
-                    yield _counted(counts)
-                    counts.clear()
-        yield _counted(counts)
+                tally.of(lang).update(words_of(text))
+                if tally.full():
+                    yield tally.taken()
+        yield tally.taken()
 
     return rows.mapInArrow(count, _COUNTS).groupBy("lang", "item").agg(F.sum("n").alias("n"))
 
@@ -89,16 +102,16 @@ def gram_counts(words: DataFrame, longest: int = LONGEST) -> DataFrame:
     """``lang, item, n`` of the n-grams in the counted words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        tally = _Tally()
         for batch in batches:
             columns = (batch.column(i).to_pylist() for i in range(3))
             for lang, word, n in zip(*columns):
+                counter = tally.of(lang)
                 for gram in grams_of(word, longest):
-                    counts[lang, gram] += n
-                if len(counts) > COUNTED:
-                    yield _counted(counts)
-                    counts.clear()
-        yield _counted(counts)
+                    counter[gram] = counter.get(gram, 0) + n
+            if tally.full():
+                yield tally.taken()
+        yield tally.taken()
 
     return words.mapInArrow(count, _COUNTS).groupBy("lang", "item").agg(F.sum("n").alias("n"))
 
@@ -143,45 +156,59 @@ class Model:
         self.grams = {gram: i for i, gram in enumerate(grams)}
         self.gram_logs = np.asarray(gram_logs, np.float64)
         self.known = len(words)
-        self.table = np.zeros((self.known + REMEMBERED + 1, len(self.langs)))
+        self.table = np.zeros((self.known + REMEMBERED, len(self.langs)))
         self.table[: self.known] = word_logs
         self.place = {word: i for i, word in enumerate(words)}
-        self.met: dict[str, int] = {}
-
-    def backoff(self, word: str) -> np.ndarray:
-        """The longest known n-gram from each place on; each stands for its part of the word."""
-        padded, rows, weights = f"^{word}$", [], []
-        for i in range(len(padded)):
-            for n in range(min(LONGEST, len(padded) - i), 0, -1):
-                at = self.grams.get(padded[i : i + n])
-                if at is not None:
-                    rows.append(at)
-                    weights.append(1.0 / n)
-                    break
-        if not rows:
-            return np.zeros(len(self.langs))
-        return np.array(weights) @ self.gram_logs[rows]
-
-    def _row(self, word: str) -> int:
-        at = self.place.get(word)
-        if at is None:
-            at = self.met.get(word)
-        if at is None:
-            at = self.known + len(self.met)
-            self.table[at] = self.backoff(word)
-            self.met[word] = at
-        return at
+        self.met: list[str] = []
+
+    def backoff(self, words: list[str]) -> np.ndarray:
+        """A row per word: the longest known n-gram from each place on, falling back to shorter
+        ones; each stands for its part of the word."""
+        rows, weights, of = [], [], []
+        for number, word in enumerate(words):
+            padded = f"^{word}$"
+            for i in range(len(padded)):
+                for n in range(min(LONGEST, len(padded) - i), 0, -1):
+                    at = self.grams.get(padded[i : i + n])
+                    if at is not None:
+                        rows.append(at)
+                        weights.append(1.0 / n)
+                        of.append(number)
+                        break
+        logs = self.gram_logs[rows] * np.array(weights)[:, None] if rows else None
+        return np.stack(
+            [
+                np.bincount(of, logs[:, i], len(words)) if rows else np.zeros(len(words))
+                for i in range(len(self.langs))
+            ],
+            axis=1,
+        )
+
+    def _learn(self, words: list[str]) -> None:
+        if len(self.met) + len(words) > REMEMBERED:
+            for word in self.met:
+                del self.place[word]
+            self.met = []
+        start = self.known + len(self.met)
+        self.table[start : start + len(words)] = self.backoff(words)
+        self.place.update(zip(words, range(start, start + len(words))))
+        self.met += words
 
     def predict(self, text: str) -> tuple[str, float]:
         words = words_of(text)
         if not words or not self.langs:
             return UNKNOWN, 0.0
         total = np.zeros(len(self.langs))
-        for start in range(0, len(words), REMEMBERED // 2):
-            part = words[start : start + REMEMBERED // 2]
-            if len(self.met) + len(part) > REMEMBERED:
-                self.met.clear()
-            rows = np.fromiter(map(self._row, part), np.int64, len(part))
+        for start in range(0, len(words), PART):
+            part = words[start : start + PART]
+            new = [word for word in set(part) if word not in self.place]
+            if new:
+                self._learn(new)
+                # Learning may have made room.
+                new = [word for word in set(part) if word not in self.place]
+                if new:
+                    self._learn(new)
+            rows = np.fromiter(map(self.place.__getitem__, part), np.int64, len(part))
             total += self.table[rows].sum(axis=0)
         odds = np.exp(total - total.max())
         best = int(np.argmax(total))  # the first of equal ones

@@ -197,3 +197,95 @@ def op10_decontamination(spark, folder):
         F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
         decontamination.contaminated().alias("contaminated"),
     )
+
+
+# ---- SQL equivalents -------------------------------------------------------------------------
+
+ORACLE["op8_top_k"] = """
+WITH finite AS (
+    SELECT vec_id, embedding FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+),
+scaled AS (
+    SELECT vec_id,
+           list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM finite
+),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM scaled q JOIN scaled c
+    ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+),
+ranked AS (
+    SELECT query_id, vec_id, score,
+           CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+# Only A to Z are lower-cased.
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE["op9_near_duplicates"] = rf"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+pieces AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS piece
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM worded WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM pieces GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both
+    FROM pieces a JOIN pieces b ON a.piece = b.piece AND a.doc_id <> b.doc_id GROUP BY ALL
+),
+links AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * n_both >= 75 * (x.n + y.n - n_both)
+),
+reached AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+),
+least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, l.component_id, d.doc_id = l.component_id AS kept
+FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN least l USING (doc_id)
+"""
+
+ORACLE["op10_decontamination"] = rf"""
+WITH doc_words AS (
+    SELECT doc_id, coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+    FROM documents
+),
+item_words AS (
+    SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+),
+item_windows AS (
+    SELECT DISTINCT item_id, size, array_to_string(w[i : i + size - 1], ' ') AS words
+    FROM (SELECT item_id, w, least(len(w), 13) AS size, unnest(range(1, greatest(len(w) - 11, 2))) AS i
+          FROM item_words WHERE len(w) > 0)
+),
+placed AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM doc_words),
+found AS (
+    SELECT DISTINCT p.doc_id, p.i, s.size, x.item_id
+    FROM placed p CROSS JOIN (SELECT DISTINCT size FROM item_windows) s
+    JOIN item_windows x ON x.size = s.size AND x.words = array_to_string(p.w[p.i : p.i + s.size - 1], ' ')
+    WHERE p.i + s.size - 1 <= len(p.w)
+),
+hit AS (
+    SELECT doc_id, count(DISTINCT place) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM found) GROUP BY doc_id
+),
+items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit,
+       coalesce(i.n_items, 0) AS n_items, sha256(coalesce(i.listed, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w) AS contaminated
+FROM doc_words d LEFT JOIN hit h USING (doc_id) LEFT JOIN items i USING (doc_id)
+"""

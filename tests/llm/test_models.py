@@ -62,10 +62,22 @@ def test_known_words_come_first_and_then_the_longest_grams():
     parts = (["a", "b"], ["word"], logs[:1], ["^wo", "d"], logs[::-1])
     model = language_id.Model(parts)
     assert model.predict("word")[0] == "a"
-    assert np.allclose(model.backoff("wox"), logs[1] / 3)
+    assert np.allclose(model.backoff(["wox", ""]), [logs[1] / 3, [0, 0]])
     assert model.predict("wox")[0] == "b"
 
 
+def test_a_worker_that_forgets_words_gives_the_same(monkeypatch):
+    rng = random.Random(2)
+    text = " ".join("".join(rng.choice("abc") for _ in range(6)) for _ in range(3000))
+    grams = ["a", "b", "c", "ab", "^c"]
+    logs = np.log([[0.6, 0.4], [0.5, 0.5], [0.3, 0.7], [0.9, 0.1], [0.2, 0.8]])
+    parts = (["x", "y"], ["abcabc"], np.log([[0.5, 0.5]]), grams, logs)
+    whole = language_id.Model(parts).predict(text)
+    monkeypatch.setattr(language_id, "REMEMBERED", 120)
+    monkeypatch.setattr(language_id, "PART", 100)
+    assert language_id.Model(parts).predict(text) == pytest.approx(whole)
+
+
 # ---- toxicity --------------------------------------------------------------------------------
 
 
@@ -177,9 +189,9 @@ def test_quality_of_odd_tables(spark):
 # ---- URL lists -------------------------------------------------------------------------------
 
 
-def test_url_query_equals_sql(spark):
-    con = connect(BIG)
-    assert differences(QUERIES["op4_url_filters"](spark, BIG), con, ORACLE["op4_url_filters"]) == []
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_sql(spark, name):
+    assert differences(QUERIES[name](spark, BIG), connect(BIG), ORACLE[name]) == []
 
 
 def test_captures_are_judged_as_of_their_time(spark):
