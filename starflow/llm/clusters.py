@@ -138,9 +138,36 @@ def _spanning(links: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
     return kept
 
 
+# Words of 64 bits in the sketch of a set.
+_WORDS = 8
+
+
+def _sketch(items):
+    """The set as bits: each item sets one, chosen by its lowest bits."""
+
+    def word(k: int):
+        mine = F.filter(items, lambda h: F.shiftright(h, 6).bitwiseAND(F.lit(_WORDS - 1)) == k)
+        return F.aggregate(
+            mine,
+            F.lit(0).cast("bigint"),
+            lambda acc, h: acc.bitwiseOR(_bit(h.bitwiseAND(F.lit(63)).cast("int"))),
+        ).alias(f"s{k}")
+
+    return [word(k) for k in range(_WORDS)]
+
+
+def _bit(place):
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
+
+
 def links_by_arrays(rows: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: like ``links_by_columns``, for ids of any type and with DataFrame functions only."""
-    held = F.collect_list(F.struct("id", "root", "items", F.size("items").alias("n")))
+    """``a, b``: like ``links_by_columns``, for ids of any type and with DataFrame functions only.
+
+    Bits that only one of two sketches has are items that only one of the sets has, which rules
+    out most pairs before their sets are intersected.
+    """
+    fields = ["id", "root", "items", F.size("items").alias("n"), *_sketch(F.col("items"))]
+    held = F.collect_list(F.struct(*fields))
     packed = rows.groupBy("cluster", "blocks", "block").agg(held.alias("held"))
     others = F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("with_block")
     left = packed.select("cluster", "block", F.col("held").alias("left"), others)
@@ -149,11 +176,14 @@ def links_by_arrays(rows: DataFrame, percent: int) -> DataFrame:
 
     def similar(x, y):
         small, large = F.least(x["n"], y["n"]), F.greatest(x["n"], y["n"])
+        only = sum(F.bit_count(x[f"s{k}"].bitwiseAND(F.bitwise_not(y[f"s{k}"]))) for k in range(_WORDS))
+        most = x["n"] - only
         both = F.size(F.array_intersect(x["items"], y["items"]))
         return (
             (x["root"] != y["root"])
             & ((F.col("block") != F.col("with_block")) | (x["id"] > y["id"]))
             & (100 * small >= percent * large)
+            & (100 * most >= percent * (x["n"] + y["n"] - most))
             & (100 * both >= percent * (x["n"] + y["n"] - both))
         )
 
