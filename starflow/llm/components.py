@@ -24,7 +24,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # Large star: every larger neighbour of a node goes to the least neighbour.
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
-        least = least.select("u", F.least("u", "m").alias("m"))
+        # Stored, so that both sides of the join are shuffled and a node with very many neighbours
+        # can be split.
+        at = shared_folder(links.sparkSession, "components")
+        least = keep(least.select("u", F.least("u", "m").alias("m")), "components", at)
         large = _canonical(
             both.filter(F.col("v") > F.col("u"))
             .join(least.hint("merge"), "u")
@@ -37,6 +40,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         old = folder
         links, folder = _written(after)
         drop_folder(spark, old)
+        drop_folder(spark, at)
     roots = links.select(F.col("v").alias("node")).distinct()
     return links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         roots.select("node", F.col("node").alias("root"))

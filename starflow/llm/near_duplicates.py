@@ -211,7 +211,10 @@ def near_duplicates(
     signed = keep(signatures(docs, id_col, text_col, size, k), "near_signatures")
     # Equal sets are one document from here on.
     full = signed.filter((F.col("n") > 0) & F.col("id").isNotNull())
-    groups = full.groupBy("fp1", "fp2", "n").agg(F.min("id").alias("first"))
+    # Stored, so that both sides of the join are shuffled and a large group can be split.
+    groups = full.groupBy("fp1", "fp2", "n").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    groups = groups.filter(F.col("first") != F.col("last")).drop("last")
+    groups = keep(groups, "near_groups")
     equal = keep(
         full.select("id", "fp1", "fp2", "n").join(groups.hint("merge"), ["fp1", "fp2", "n"])
         .filter(F.col("id") != F.col("first")).select("id", "first").distinct(),
