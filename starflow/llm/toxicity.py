@@ -134,7 +134,8 @@ def fit(labelled: DataFrame) -> dict | None:
     """
     counts = bigram_counts(labelled)
     bigram = F.col("w").isNotNull()
-    # Types (continuation counts) and tokens of each word; both branches read one shuffle.
+    # Types (continuation counts) and tokens of each word. Neither branch filters what it reads, so
+    # that both read one shuffle.
     by_word = counts.groupBy("w").agg(
         F.sum("n0").alias("n0"),
         F.sum("n1").alias("n1"),
@@ -148,11 +149,11 @@ def fit(labelled: DataFrame) -> dict | None:
     stored = keep(
         often.select("h", "w", "n0", "n1", none.alias("t0"), none.alias("t1"), none.alias("t"))
         .unionByName(
-            by_word.filter(F.col("w").isNotNull()).select(none.alias("h"), "w", "n0", "n1", "t0", "t1", "t")
+            by_word.select(none.alias("h"), "w", "n0", "n1", "t0", "t1", "t")
         ),
         "toxicity_counts",
     )
-    words = stored.filter(F.col("h").isNull())
+    words = stored.filter(F.col("h").isNull() & F.col("w").isNotNull())
     totals = words.agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "t0", "t1", "t")]).first()
     if not totals["t0"] or not totals["t1"]:
         return None
@@ -169,7 +170,7 @@ def fit(labelled: DataFrame) -> dict | None:
         & (_share(F.col("n0"), F.col("n1"), n0, n1) >= SHARE)
     )
     pairs = keep(pairs.select("h", "w", "n0", "n1"), "toxicity_pairs")
-    history = stored.filter(F.col("w").isNull()).select(
+    history = stored.filter(F.col("w").isNull() & F.col("h").isNotNull()).select(
         "h", F.col("n0").alias("h0"), F.col("n1").alias("h1")
     )
     kept_pairs = (
