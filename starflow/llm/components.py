@@ -8,7 +8,15 @@ from pyspark.sql import functions as F
 from starflow.llm.common import drop_folder, keep, shared_folder
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+# Edges beyond which the least neighbours are stored before they are joined. Both sides of the join
+# are then shuffled, and adaptive execution can split a node with very many neighbours; with fewer
+# edges the extra job costs more than such a node does. The result is the same.
+SPLIT_ROWS = 1_000_000
+
+
+def components(
+    edges: DataFrame, a: str = "a", b: str = "b", split_rows: int = SPLIT_ROWS
+) -> DataFrame:
     """``(node, root)`` for every node of an edge, the root being the least node it can reach.
 
     In turns, the larger neighbours of each node are linked to its least neighbour, and then the
@@ -20,14 +28,15 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     spark = edges.sparkSession
     links = _canonical(edges.select(F.col(a).alias("u"), F.col(b).alias("v")))
     links, folder = _written(links)
+    many = links.count() > split_rows  # the number never grows
     while not _are_stars(links):
         # Large star: every larger neighbour of a node goes to the least neighbour.
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
-        # Stored, so that both sides of the join are shuffled and a node with very many neighbours
-        # can be split.
-        at = shared_folder(links.sparkSession, "components")
-        least = keep(least.select("u", F.least("u", "m").alias("m")), "components", at)
+        least = least.select("u", F.least("u", "m").alias("m"))
+        if many:
+            at = shared_folder(spark, "components")
+            least = keep(least, "components", at)
         large = _canonical(
             both.filter(F.col("v") > F.col("u"))
             .join(least.hint("merge"), "u")
@@ -40,7 +49,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         old = folder
         links, folder = _written(after)
         drop_folder(spark, old)
-        drop_folder(spark, at)
+        if many:
+            drop_folder(spark, at)
     roots = links.select(F.col("v").alias("node")).distinct()
     return links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         roots.select("node", F.col("node").alias("root"))
