@@ -30,12 +30,14 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _FOUR_PARTS = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _DIGIT_CHAIN = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _DIALLED = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+_DIGIT = re.compile(r"[0-9]")
 _DIGIT_RUN = re.compile(r"[0-9]+")
 _URL_BODY = re.compile(r"[A-Za-z0-9._~:/?#\[\]@!$&'()*+,;=%-]+")
 _AFTER_CUE = re.compile(
     r"(?:[\x20_]?(?:no|nr|number|id|key)\b)?\.?[\x20]{0,3}[:=#]?[\x20]{0,3}[\"']?"
-    r"(?P<value>[A-Za-z0-9](?:[A-Za-z0-9_-]|\x20(?=(?:[0-9]{1,4}|[0-9A-Z]{4})\b)){5,63})"
+    r"(?P<value>[A-Za-z0-9](?:[A-Za-z0-9_-]|\x20(?=(?:[0-9]{1,4}|[0-9A-Z]{4})\b)){5})"
 )
+_VALUE_REST = re.compile(r"(?:[A-Za-z0-9_-]|\x20(?=(?:[0-9]{1,4}|[0-9A-Z]{4})\b))*+")
 
 
 @lru_cache(maxsize=1)
@@ -87,14 +89,17 @@ def url_at(text: str, start: int, scheme_end: int) -> tuple[int, int] | None:
     return (start, scheme_end + len(whole)) if "." in host.strip(".") else None
 
 
-def account_at(text: str, cue_start: int, cue_end: int) -> tuple[int, int] | None:
-    """The identifier after a cue: 6 to 64 letters, digits, ``_`` and ``-``, with three digits."""
+def account_at(text: str, cue_start: int, cue_end: int, poor: int) -> tuple[int, int] | None:
+    """What may be the identifier after a cue: 6 or more letters, digits, ``_`` and ``-``.
+
+    Before ``poor`` a value ends where one that has too few digits does, and is not read again.
+    """
     if cue_start and (text[cue_start - 1].isalnum()):
         return None
     found = _AFTER_CUE.match(text, cue_end)
-    if not found or sum(c in "0123456789" for c in found["value"]) < 3:
+    if not found or found.start("value") < poor:
         return None
-    return found.span("value")
+    return found.start("value"), _VALUE_REST.match(text, found.end()).end()
 
 
 def spans_of(text: str) -> list[tuple[str, int, int]]:
@@ -104,6 +109,7 @@ def spans_of(text: str) -> list[tuple[str, int, int]]:
     """
     found: dict[str, list[tuple[int, int]]] = {kind: [] for kind in KINDS}
     free = dict.fromkeys(KINDS, 0)
+    poor = 0
 
     def take(kind: str, span: tuple[int, int] | None, good: bool = True) -> None:
         if span:
@@ -135,7 +141,11 @@ def spans_of(text: str) -> list[tuple[str, int, int]]:
             if at >= free["url"]:
                 take("url", url_at(text, at, last + 1))
         elif at >= free["account"]:
-            take("account", account_at(text, at, last + 1))
+            if span := account_at(text, at, last + 1, poor):
+                if len(_DIGIT.findall(text, *span)) >= 3:
+                    take("account", span)
+                else:
+                    poor = span[1]
     return [(kind, *span) for kind in KINDS for span in found[kind]]
 
 

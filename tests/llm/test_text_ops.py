@@ -114,6 +114,16 @@ def test_added_spans():
     ]
 
 
+def test_accounts_of_any_length(spark):
+    key = "0123456789ab" * 10
+    text = f'token = {key}, api_key="{key[:65]}" IBAN IBAN IBAN: DE89 3704 0044'
+    added = [(k, text[s:e]) for k, s, e in pii.spans_of(text) if k == "account"]
+    assert added == [("account", key), ("account", key[:65]), ("account", "DE89 3704 0044")]
+    docs = spark.createDataFrame([(1, f"token = {key} end")], "doc_id long, text string")
+    assert pii.redact(docs).first()["text"] == "token = <account> end"
+    assert pii.spans_of("IBAN " * 100_000 + "x") == []
+
+
 def test_pii_query(spark, folder, documents):
     rows = {r["doc_id"]: r for r in QUERIES["op7_pii"](spark, folder).collect()}
     assert len(rows) == len(documents)
