@@ -1,11 +1,14 @@
 """Toxicity by class-conditional Kneser-Ney bigram models.
 
-Two models, of the documents labelled toxic and of the others, back off from bigrams to words and
-from words to counts that both classes share. An expression has a probability of its own in a
-class only where the classes differ significantly; any other is smoothed through the backoff, so
-it tells them apart only by the mass each class leaves to it. The score of a document is the mean
+Two models, of the documents labelled toxic and of the others, back off from bigrams to counts that
+both classes share, then to words and to shared counts again. Every bigram and word that was seen
+has discounted counts of its own in each class. The less the classes differ in it, the more of them
+is discounted and left to the backoff, but never all. The score of a document is the mean
 difference of the log-likelihoods per bigram, turned into a probability on labelled documents that
 the models have not seen.
+
+Counts and models are tables that grow with the corpus, and are joined with the bigrams and words
+of the documents.
 """
 
 from __future__ import annotations
@@ -16,29 +19,35 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from starflow.llm.common import Shared, by_size, in_batches, keep, remainder, texts_of
+from starflow.llm.common import by_size, in_batches, keep, remainder, texts_of
 
 DISCOUNT = 0.75
 
-# Deviations by which a class must differ from the other.
-DEVIATIONS = 6.0
-
-# Least mean share of the classes, so that at most 1 / SHARE expressions of each kind are kept.
-SHARE = 1e-5
+# Where the likelihood ratio of the classes (G squared) has this value, half of a count is kept; the
+# kept part rises with its square.
+STRENGTH = 100.0
 
 # Bins of the score that calibration counts; all labelled documents of its fold are in them.
 BINS = 1000
 
+# Bigrams, and documents, that a worker gathers before it passes them on.
 COUNTED = 400_000
+GATHERED = 30_000
+
 REMEMBERED = 100_000
 
 _WORD = re.compile(r"[^\W_]+")
-_STEP = np.uint64(0x9E3779B97F4A7C15)
 _BEGIN = np.uint64(0x2545F4914F6CDD1D)
 
+# In place of the word, or of the history, in the keys of what is known of one of them alone.
+_HEAD = 0x1E3779B97F4A7C15
+_ALONE = 0x3C79AC492BA7B653
+
 
 class _Hashes(dict):
     def __missing__(self, word: str) -> int:
@@ -62,9 +71,24 @@ def bigrams(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pair(h: np.ndarray, w: np.ndarray) -> np.ndarray:
-    x = (h * _STEP) ^ w
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(32))
+    """``xxhash64(h, w)`` of Spark."""
+    one, two, three, four, five = (
+        np.uint64(p)
+        for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63,
+                  0x27D4EB2F165667C5)
+    )
+
+    def turned(x: np.ndarray, n: int) -> np.ndarray:
+        return (x << np.uint64(n)) | (x >> np.uint64(64 - n))
+
+    x = np.full(max(np.size(h), np.size(w)), 42, np.uint64)
+    for part in (h, w):
+        x = (x + five + np.uint64(8)) ^ (turned(part * two, 31) * one)
+        x = turned(x, 27) * one + four
+        x = (x ^ (x >> np.uint64(33))) * two
+        x = (x ^ (x >> np.uint64(29))) * three
+        x = x ^ (x >> np.uint64(32))
+    return x
 
 
 def _summed(h: np.ndarray, w: np.ndarray, label: np.ndarray) -> list[np.ndarray]:
@@ -80,7 +104,7 @@ def _summed(h: np.ndarray, w: np.ndarray, label: np.ndarray) -> list[np.ndarray]
 
 
 def bigram_counts(labelled: DataFrame) -> DataFrame:
-    """``h, w, n0, n1`` over all documents, and a row per ``h`` with a NULL ``w``: its total."""
+    """``h, w, n0, n1`` over all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
@@ -98,15 +122,10 @@ def bigram_counts(labelled: DataFrame) -> DataFrame:
         if not parts:
             return
         h, w, label = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        for null, columns in ((False, _summed(h, w, label)), (True, _summed(h, h, label))):
-            words = pa.array(columns[1].astype(np.int64), pa.int64())
-            if null:
-                words = pa.nulls(len(columns[0]), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0].astype(np.int64)), words]
-                + [pa.array(c.astype(np.int64)) for c in columns[2:]],
-                names=["h", "w", "n0", "n1"],
-            )
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c.astype(np.int64)) for c in _summed(h, w, label)],
+            names=["h", "w", "n0", "n1"],
+        )
 
     rows = labelled.select("text", "label").mapInArrow(
         count, "h bigint, w bigint, n0 bigint, n1 bigint"
@@ -114,99 +133,128 @@ def bigram_counts(labelled: DataFrame) -> DataFrame:
     return rows.groupBy("h", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
-def _differs(a: Column, b: Column, total_a: float, total_b: float) -> Column:
-    """Whether ``b`` is further from its expectation than chance allows."""
-    share = (a + b) / (total_a + total_b)
-    expected = share * total_b
-    spread = F.sqrt(expected * total_a / (total_a + total_b))
-    return F.abs(b - expected) > DEVIATIONS * spread + 2
+def _ratio(a: Column, b: Column, total_a: float, total_b: float) -> Column:
+    """The likelihood ratio (G squared) of two classes with the same share."""
+
+    def part(n: Column, total: float) -> Column:
+        expected = (a + b) * (total / (total_a + total_b))
+        return F.when(n > 0, n * F.log(n / expected)).otherwise(0.0)
+
+    return 2 * (part(a, total_a) + part(b, total_b))
 
 
-def _share(a: Column, b: Column, total_a: float, total_b: float) -> Column:
-    return (a / total_a + b / total_b) / 2
+def _weight(ratio: Column) -> Column:
+    return ratio * ratio / (ratio * ratio + STRENGTH**2)
 
 
-def fit(labelled: DataFrame) -> dict | None:
-    """Log-likelihood differences of what is kept, from ``text, label`` rows of the whole corpus.
+def _own(count: Column) -> Column:
+    return F.greatest(count - DISCOUNT, F.lit(0.0))
 
-    ``None`` if a class has no bigram. The driver gets kept rows only: at most ``1 / SHARE`` words
-    and as many bigrams.
+
+def fit(labelled: DataFrame) -> tuple[DataFrame, float] | None:
+    """``key, value`` of every bigram, history and word in ``text, label`` rows of the whole corpus,
+    and the value of a word that is in none. ``None`` if a class has no bigram.
+
+    The log-likelihood difference of a bigram is the sum of the values of its history, its word and
+    itself, where known, and the value of an unknown word, which is left out of those of words.
     """
-    counts = bigram_counts(labelled)
-    bigram = F.col("w").isNotNull()
-    # Types (continuation counts) and tokens of each word. Neither branch filters what it reads, so
-    # that both read one shuffle.
-    by_word = counts.groupBy("w").agg(
+    counts = keep(bigram_counts(labelled), "toxicity_counts")
+    tokens = counts.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).first()
+    if not tokens["n0"] or not tokens["n1"]:
+        return None
+    n = [float(tokens[f"n{c}"]) for c in (0, 1)]
+    # Types (continuation counts) and tokens of each word.
+    words = counts.groupBy("w").agg(
         F.sum("n0").alias("n0"),
         F.sum("n1").alias("n1"),
         F.sum((F.col("n0") > 0).cast("bigint")).alias("t0"),
         F.sum((F.col("n1") > 0).cast("bigint")).alias("t1"),
         F.count(F.lit(1)).alias("t"),
     )
-    # A bigram below this differs in no class, see ``_differs``.
-    often = counts.filter(~bigram | (F.col("n0") + F.col("n1") > 2))
-    none = F.lit(None).cast("bigint")
-    stored = keep(
-        often.select("h", "w", "n0", "n1", none.alias("t0"), none.alias("t1"), none.alias("t"))
-        .unionByName(
-            by_word.select(none.alias("h"), "w", "n0", "n1", "t0", "t1", "t")
-        ),
-        "toxicity_counts",
-    )
-    words = stored.filter(F.col("h").isNull() & F.col("w").isNotNull())
-    totals = words.agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "t0", "t1", "t")]).first()
-    if not totals["t0"] or not totals["t1"]:
-        return None
-    n0, n1, t0, t1, t = (float(totals[c]) for c in ("n0", "n1", "t0", "t1", "t"))
-    up = (F.col("n1") / n1 > F.col("n0") / n0) == (F.col("t1") / t1 > F.col("t0") / t0)
-    kept_words = words.filter(
-        up
-        & _differs(F.col("t0"), F.col("t1"), t0, t1)
-        & _differs(F.col("n0"), F.col("n1"), n0, n1)
-        & (_share(F.col("t0"), F.col("t1"), t0, t1) >= SHARE)
-    ).select("w", "t0", "t1", "t")
-    pairs = stored.filter(F.col("h").isNotNull() & F.col("w").isNotNull()).filter(
-        _differs(F.col("n0"), F.col("n1"), n0, n1)
-        & (_share(F.col("n0"), F.col("n1"), n0, n1) >= SHARE)
+    words = keep(words, "toxicity_words")
+    types = words.agg(*[F.sum(c).alias(c) for c in ("t0", "t1", "t")]).first()
+    t = [float(types[f"t{c}"]) for c in (0, 1)]
+    ratio = F.least(
+        _ratio(F.col("t0"), F.col("t1"), *t), _ratio(F.col("n0"), F.col("n1"), *n)
     )
-    pairs = keep(pairs.select("h", "w", "n0", "n1"), "toxicity_pairs")
-    history = stored.filter(F.col("w").isNull() & F.col("h").isNotNull()).select(
-        "h", F.col("n0").alias("h0"), F.col("n1").alias("h1")
+    words = words.select(
+        "w", "t", *[(_own(F.col(f"t{c}")) * _weight(ratio) / t[c]).alias(f"o{c}") for c in (0, 1)]
     )
-    kept_pairs = (
-        by_size(history, pairs, ["h"], "inner")
-        .join(words.select("w", "t0", "t1", "t").hint("merge"), "w")
-        .select("h", "w", "n0", "n1", "h0", "h1", "t0", "t1", "t")
+    kept = words.agg(F.sum("o0").alias("o0"), F.sum("o1").alias("o1")).first()
+    left = [1 - kept[f"o{c}"] for c in (0, 1)]
+    other = float(np.log(left[1]) - np.log(left[0]))
+    shared = F.col("t") / float(types["t"])
+    words = words.select("w", *[(F.col(f"o{c}") + left[c] * shared).alias(f"b{c}") for c in (0, 1)])
+    words = keep(words, "toxicity_words")
+    weight = _weight(_ratio(F.col("n0"), F.col("n1"), *n))
+    pairs = counts.select(
+        "h", "w", "n0", "n1", _own(F.col("n0") + F.col("n1")).alias("s"),
+        *[(_own(F.col(f"n{c}")) * weight).alias(f"o{c}") for c in (0, 1)],
+    )
+    heads = pairs.groupBy("h").agg(
+        *[F.greatest(F.sum(f"n{c}"), F.lit(1)).alias(f"h{c}") for c in (0, 1)],
+        *[F.sum(f"o{c}").alias(f"m{c}") for c in (0, 1)],
+        F.sum(F.col("n0") + F.col("n1")).alias("hs"),
+        F.sum("s").alias("ms"),
     )
-    return _differences(_columns(kept_words), _columns(kept_pairs), (t0, t1, t))
+    heads = keep(
+        heads.select(
+            "h", "h0", "h1", "hs", (1 - F.col("ms") / F.col("hs")).alias("rs"),
+            *[(1 - F.col(f"m{c}") / F.col(f"h{c}")).alias(f"r{c}") for c in (0, 1)],
+        ),
+        "toxicity_heads",
+    )
+    joined = by_size(by_size(pairs, heads, ["h"], "inner"), words, ["w"], "inner")
 
+    def both(c: int) -> Column:
+        back = F.col("s") / F.col("hs") + F.col("rs") * F.col(f"b{c}")
+        return F.col(f"o{c}") / F.col(f"h{c}") + F.col(f"r{c}") * back
 
-def _columns(df: DataFrame) -> dict[str, np.ndarray]:
-    rows = df.orderBy(*df.columns).collect()
-    return {c: np.array([r[c] for r in rows], np.int64) for c in df.columns}
+    def difference(one: Column, zero: Column) -> Column:
+        return F.log(one) - F.log(zero)
+
+    of_head, of_word = (difference(F.col(f"{x}1"), F.col(f"{x}0")) for x in "rb")
+    model = (
+        joined.select(
+            F.xxhash64("h", "w").alias("key"), (difference(both(1), both(0)) - of_head - of_word).alias("value")
+        )
+        .unionByName(heads.select(F.xxhash64("h", F.lit(_HEAD)).alias("key"), of_head.alias("value")))
+        .unionByName(
+            words.select(F.xxhash64(F.lit(_ALONE), "w").alias("key"), (of_word - other).alias("value"))
+        )
+    )
+    return keep(model, "toxicity_model"), other
 
 
 def _differences(words: dict, pairs: dict, totals: tuple[float, float, float]) -> dict:
-    """Kneser-Ney with the mass of what is not kept left to the shared counts."""
+    """The formulas of ``fit`` for counts in memory, to compare with.
+
+    ``kept`` is the part of the discounted counts that stays with a row, all of it if missing.
+    ``s`` is the probability of a bigram in the shared counts and ``rs`` what its history leaves
+    there; without them a bigram backs off to its word at once.
+    """
     shared = totals[2]
 
-    def own(counts: np.ndarray) -> np.ndarray:
-        return np.maximum(counts - DISCOUNT, 0.0)
+    def own(rows: dict, name: str) -> np.ndarray:
+        return np.maximum(rows[name] - DISCOUNT, 0.0) * rows.get("kept", 1.0)
 
-    left = [1 - own(words[f"t{c}"]).sum() / totals[c] for c in (0, 1)]
+    own_types = [own(words, f"t{c}") for c in (0, 1)]
+    left = [1 - own_types[c].sum() / totals[c] for c in (0, 1)]
+    order = np.argsort(words["w"])
 
     def word_probability(rows: dict, c: int) -> np.ndarray:
-        kept = np.isin(rows["w"], words["w"])
-        return kept * own(rows[f"t{c}"]) / totals[c] + left[c] * rows["t"] / shared
+        at = order[np.searchsorted(words["w"], rows["w"], sorter=order)]
+        return own_types[c][at] / totals[c] + left[c] * rows["t"] / shared
 
     word = [word_probability(words, c) for c in (0, 1)]
     heads, at = np.unique(pairs["h"], return_inverse=True)
     mass, both = [], []
     for c in (0, 1):
-        seen = own(pairs[f"n{c}"]) / np.maximum(pairs[f"h{c}"], 1)
+        seen = own(pairs, f"n{c}") / np.maximum(pairs[f"h{c}"], 1)
         rest = 1 - np.bincount(at, seen, len(heads))
         mass.append(rest)
-        both.append(seen + rest[at] * word_probability(pairs, c))
+        back = pairs.get("s", 0.0) + pairs.get("rs", 1.0) * word_probability(pairs, c)
+        both.append(seen + rest[at] * back)
     key = pair(pairs["h"].astype(np.uint64), pairs["w"].astype(np.uint64))
     order, word_order = np.argsort(key), np.argsort(words["w"].astype(np.uint64))
     head_order = np.argsort(heads.astype(np.uint64))
@@ -219,49 +267,106 @@ def _differences(words: dict, pairs: dict, totals: tuple[float, float, float]) -
     }
 
 
-def _look_up(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray, other: float) -> np.ndarray:
-    known, values = table
-    if not len(known):
-        return np.full(len(keys), other)
-    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    return np.where(known[at] == keys, values[at], other)
+def gathered(docs: DataFrame) -> DataFrame:
+    """What is to be looked up for ``text``, and the other columns of ``docs``, in one table.
 
+    Documents are gathered in blocks. A row with ``docs`` has a key once for a block and names the
+    documents it is in, as often as it counts. A row with ``n`` is a document of the block and has
+    its number of bigrams and its columns; its key is of no expression.
+    """
+    names = [c for c in docs.columns if c != "text"]
+    fields = [f for f in docs.schema.fields if f.name != "text"]
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
+    head, every = np.uint64(_HEAD), np.uint64(_ALONE)
 
-def difference(model: dict, text: str) -> float | None:
-    """Mean difference of the log-likelihoods per distinct bigram; ``None`` without words."""
-    h, w = bigrams(text)
-    if not len(h):
-        return None
-    whole = _look_up(model["pairs"], pair(h, w), np.nan)
-    parts = _look_up(model["heads"], h, 0.0) + _look_up(model["words"], w, model["other"])
-    return float(np.where(np.isnan(whole), parts, whole).mean())
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, first, parts, size = TaskContext.get().partitionId() << 32, 0, [], 0
+        for batch in batches:
+            if size > COUNTED or first > GATHERED:
+                yield terms(block, parts)
+                block, first, parts, size = block + 1, 0, [], 0
+            n = []
+            for i, text in enumerate(texts_of(batch)):
+                h, w = bigrams(text)
+                n.append(len(h))
+                if len(h):
+                    keys = np.concatenate([pair(h, w), pair(h, head), pair(every, w)])
+                    parts.append((keys, np.full(len(keys), first + i, np.int32)))
+                size += len(h)
+                if size > COUNTED:
+                    yield terms(block, parts)
+                    parts, size = [], 0
+            places = np.arange(first, first + len(n))
+            first += len(n)
+            known = {c: batch.column(batch.schema.get_field_index(c)) for c in names}
+            yield rows(
+                len(n),
+                block=pa.array(np.full(len(n), block, np.int64)),
+                key=pa.array(pair(np.full(len(n), block, np.uint64), places.astype(np.uint64)).view(np.int64)),
+                doc=pa.array(places.astype(np.int32)),
+                n=pa.array(n, pa.int64()),
+                **known,
+            )
+        yield terms(block, parts)
+
+    def terms(block: int, parts: list) -> pa.RecordBatch:
+        keys = np.concatenate([np.empty(0, np.uint64), *[k for k, _ in parts]])
+        at = np.concatenate([np.empty(0, np.int32), *[d for _, d in parts]])
+        order = np.argsort(keys)
+        keys, at = keys[order], at[order]
+        new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
+        offsets = np.r_[new, len(keys)].astype(np.int32)
+        return rows(
+            len(new),
+            block=pa.array(np.full(len(new), block, np.int64)),
+            key=pa.array(keys[new].view(np.int64)),
+            docs=pa.ListArray.from_arrays(pa.array(offsets), pa.array(at)),
+        )
+
+    empty = {"block": pa.int64(), "key": pa.int64(), "docs": pa.list_(pa.int32()), "doc": pa.int32(),
+             "n": pa.int64()}
+    empty |= {f.name: to_arrow_type(f.dataType) for f in fields}
+
+    def rows(size: int, **columns: pa.Array) -> pa.RecordBatch:
+        arrays = [columns[c] if c in columns else pa.nulls(size, t) for c, t in empty.items()]
+        return pa.RecordBatch.from_arrays(arrays, names=list(empty))
+
+    schema = "block bigint, key bigint, docs array<int>, doc int, n bigint"
+    return docs.mapInArrow(gather, f"{schema}, {types}")
+
+
+def differences(docs: DataFrame, model: tuple[DataFrame, float] | None) -> DataFrame:
+    """``docs`` with ``x`` in place of ``text``: the difference of each whole text, NULL without
+    words or model."""
+    names = [c for c in docs.columns if c != "text"]
+    if model is None:
+        return docs.select(*names, F.lit(None).cast("double").alias("x"))
+    table, other = model
+    found = by_size(gathered(docs), table, ["key"], "left")
+    # A key that is not in the model adds nothing; a document is a row of its own.
+    found = found.filter(F.col("n").isNotNull() | F.col("value").isNotNull())
+    place = F.explode(F.coalesce("docs", F.array("doc")))
+    sums = found.select("block", place.alias("at"), "n", "value", *names).groupBy("block", "at")
+    sums = sums.agg(
+        F.sum("value").alias("value"),
+        F.max("n").alias("n"),
+        *[F.first(c, ignorenulls=True).alias(c) for c in names],
+    )
+    x = F.when(F.col("n") > 0, other + F.coalesce("value", F.lit(0.0)) / F.col("n"))
+    return sums.select(*names, x.alias("x"))
 
 
-def differences(
-    docs: DataFrame, model: dict | None, columns: list[str], text_col: str, curve=None
-) -> DataFrame:
-    """``columns`` and ``x``, the difference of each whole text (NULL without words). With a
-    ``curve`` from ``calibrate``, ``x`` is the probability instead, and never NULL."""
-    spark = docs.sparkSession
-    in_batches(spark)
-    shared = Shared(spark, (model, curve), lambda parts: parts)
-    inner = [f"c{i}" for i in range(len(columns))]
-    rows = docs.select(
-        *[F.col(c).alias(i) for c, i in zip(columns, inner)], F.col(text_col).alias("text")
-    )
-    schema = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
+def _on_curve(found: DataFrame, curve: tuple[list[float], list[float], float]) -> DataFrame:
+    """``found`` with the probability in place of the difference ``x``."""
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.schema.fields)
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, levels = shared.get()
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [difference(parts, text) if parts else None for text in texts_of(batch)]
-            if levels is not None:
-                x = [probability(value, *levels) for value in x]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(x, pa.float64())], names=[*inner, "x"]
-            )
+            at = batch.schema.get_field_index("x")
+            x = [probability(value, *curve) for value in batch.column(at).to_pylist()]
+            yield batch.set_column(at, "x", pa.array(x, pa.float64()))
 
-    return rows.mapInArrow(score, ", ".join([*schema, "x double"])).toDF(*columns, "x")
+    return found.mapInArrow(place, types)
 
 
 def probability(x: float | None, places: list[float], values: list[float], base: float) -> float:
@@ -327,6 +432,9 @@ def score_toxicity(
     labelled = by_size(rows, known, ["id"], "inner")
     fold = remainder("id", 5) == 0
     model = fit(labelled.filter(~fold))
-    scored = differences(labelled.filter(fold), model, ["label"], "text")
-    found = differences(docs, model, [id_col], text_col, calibrate(scored))
-    return found.withColumnRenamed("x", "score")
+    texts = docs.select(
+        F.col(id_col).alias("id"), learns.alias("learns"), F.col(text_col).alias("text")
+    )
+    found = keep(differences(texts, model), "toxicity_scores")
+    scored = by_size(found.filter("learns").select("id", "x"), known, ["id"], "inner").filter(fold)
+    return _on_curve(found.select("id", "x"), calibrate(scored)).toDF(id_col, "score")

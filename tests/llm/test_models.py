@@ -140,6 +140,62 @@ def test_kept_probabilities_sum_to_one():
     assert model["pairs"][1][0] == pytest.approx(math.log(whole[1] / whole[0]))
 
 
+def test_every_seen_expression_is_in_the_model(spark):
+    docs, labels = toxic_corpus()
+    docs = [(t + (" rare slur" if i in (5, 10) else ""), y) for (i, t), (_, y) in zip(docs, labels)]
+    frame = spark.createDataFrame(docs, "text string, label bigint")
+    table, other = toxicity.fit(frame.repartition(3))
+    n = {}
+    for text, label in docs:
+        for at in set(zip(*(x.tolist() for x in toxicity.bigrams(text)))):
+            n.setdefault(at, [0, 0])[label] += 1
+    heads, words = {h for h, _ in n}, {w for _, w in n}
+    value = {r["key"] % 2**64: r["value"] for r in table.collect()}
+    assert len(value) == len(n) + len(heads) + len(words)
+    # The same by the formulas for counts in memory.
+    total = [sum(c[k] for c in n.values()) for k in (0, 1)]
+
+    def weight(a, b, sums):
+        parts = [(x, (a + b) * y / sum(sums)) for x, y in zip((a, b), sums)]
+        ratio = 2 * sum(x * math.log(x / e) for x, e in parts if x)
+        return ratio * ratio / (ratio * ratio + toxicity.STRENGTH**2), ratio
+
+    by_word = {w: [c for (_, v), c in n.items() if v == w] for w in words}
+    t = {w: [sum(c[k] > 0 for c in cs) for k in (0, 1)] for w, cs in by_word.items()}
+    types = [sum(x[k] for x in t.values()) for k in (0, 1)]
+    kept = {}
+    for w, cs in by_word.items():
+        tokens = [sum(c[k] for c in cs) for k in (0, 1)]
+        kept[w] = min(weight(*tokens, total), weight(*t[w], types), key=lambda x: x[1])[0]
+    column = lambda values: np.array(list(values))
+    hashes = lambda values: np.array(list(values), np.uint64)
+    plain_words = {"w": hashes(kept), "kept": column(kept.values()), "t": column(len(by_word[w]) for w in kept),
+                   **{f"t{k}": column(t[w][k] for w in kept) for k in (0, 1)}}
+    by_head = {h: [c for (g, _), c in n.items() if g == h] for h in heads}
+    pooled = {h: sum(map(sum, cs)) for h, cs in by_head.items()}
+    pairs = {"h": hashes(h for h, _ in n), "w": hashes(w for _, w in n),
+             "kept": column(weight(*c, total)[0] for c in n.values()),
+             "t": column(len(by_word[w]) for _, w in n),
+             "s": column((sum(c) - 0.75) / pooled[h] for (h, _), c in n.items()),
+             "rs": column(0.75 * len(by_head[h]) / pooled[h] for h, _ in n),
+             **{f"n{k}": column(c[k] for c in n.values()) for k in (0, 1)},
+             **{f"h{k}": column(sum(c[k] for c in by_head[h]) for h, _ in n) for k in (0, 1)}}
+    plain = toxicity._differences(plain_words, pairs, (*types, len(n)))
+    assert other == pytest.approx(plain["other"])
+    of_head, of_word = dict(zip(*map(np.ndarray.tolist, plain["heads"]))), dict(zip(*map(np.ndarray.tolist, plain["words"])))
+    whole = dict(zip(*map(np.ndarray.tolist, plain["pairs"])))
+    one = lambda h, w: int(toxicity.pair(np.array([h], np.uint64), np.array([w], np.uint64))[0])
+    for h, w in n:
+        at = value[one(h, w)] + value[one(h, toxicity._HEAD)] + value[one(toxicity._ALONE, w)] + other
+        assert at == pytest.approx(whole[one(h, w)], abs=1e-9)
+        assert value[one(h, toxicity._HEAD)] == pytest.approx(of_head[h], abs=1e-9)
+        assert value[one(toxicity._ALONE, w)] + other == pytest.approx(of_word[w], abs=1e-9)
+    # Two occurrences are evidence.
+    texts = spark.createDataFrame([(1, "rare slur"), (2, "rare other"), (3, None)], "id int, text string")
+    x = {r["id"]: r["x"] for r in toxicity.differences(texts, (table, other)).collect()}
+    assert x[1] > x[2] and x[3] is None
+
+
 # ---- quality ---------------------------------------------------------------------------------
 
 
