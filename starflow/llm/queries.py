@@ -12,6 +12,7 @@ from starflow.llm import (
     decontamination,
     language_id,
     line_dedup,
+    merkle,
     near_duplicates,
     packing,
     pii,
@@ -199,6 +200,20 @@ def op10_decontamination(spark, folder):
     )
 
 
+@query
+def op12_merkle(spark, folder):
+    docs = table(spark, folder, "documents")
+    changed = F.when(remainder("doc_id", 7) == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    tampered = ["doc_id", "source", "lang", changed, "text"]
+    claimed = merkle.leaf_hash([F.col(f) if isinstance(f, str) else f for f in tampered])
+    found = merkle.manifest(docs, also={"claimed": claimed})
+    folded = merkle.fold(F.col("claimed"), F.col("path"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root",
+        merkle.proof_hash(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 # ---- SQL equivalents -------------------------------------------------------------------------
 
 ORACLE["op8_top_k"] = """
@@ -289,3 +304,79 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_
        coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w) AS contaminated
 FROM doc_words d LEFT JOIN hit h USING (doc_id) LEFT JOIN items i USING (doc_id)
 """
+
+# A value as the leaf has it, and the unsigned crc32 of a decimal number.
+_FIELD = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+_CRC32 = """xor(4294967295::BIGINT, list_reduce(
+    list_concat([4294967295::BIGINT],
+                list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                                  lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
+def _leaf(n_chars: str) -> str:
+    fields = ("doc_id", "source", "lang", n_chars, "text")
+    return "sha256(" + " || ".join(_FIELD.format(f) for f in fields) + ")"
+
+
+ORACLE["op12_merkle"] = f"""
+WITH RECURSIVE leaves AS (
+    SELECT doc_id, coalesce('=' || lang, '-') AS tree, {_leaf("n_chars")} AS leaf,
+           {_leaf(f"CASE WHEN {_CRC32} % 7 = 0 THEN n_chars + 1 ELSE n_chars END")} AS claimed
+    FROM documents
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank
+    FROM leaves
+),
+nodes AS (
+    SELECT tree, 0 AS level, rank AS place, leaf AS h FROM ranked
+    UNION ALL
+    SELECT tree, level + 1, place // 2, sha256(string_agg(h, '' ORDER BY place))
+    FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM nodes) WHERE n > 1
+    GROUP BY tree, level, place // 2
+),
+subroots AS (
+    SELECT tree, h, level AS height, row_number() OVER (ORDER BY tree) - 1 AS place
+    FROM (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY level DESC) AS last FROM nodes)
+    WHERE last = 1
+),
+forest AS (
+    SELECT 0 AS level, place, h FROM subroots
+    UNION ALL
+    SELECT level + 1, place // 2, sha256(string_agg(h, '' ORDER BY place))
+    FROM (SELECT *, count(*) OVER () AS n FROM forest) WHERE n > 1
+    GROUP BY level, place // 2
+),
+top AS (SELECT h AS root, level AS height FROM forest ORDER BY level DESC LIMIT 1),
+steps AS (
+    SELECT l.doc_id, l.tree, l.rank, n.level, n.h, n.place & 1 AS goes_right
+    FROM ranked l JOIN subroots s ON s.tree = l.tree CROSS JOIN range(0, 64) AS r(level)
+    LEFT JOIN nodes n ON n.tree = l.tree AND n.level = r.level AND n.place = xor(l.rank >> r.level, 1)
+    WHERE r.level < s.height AND n.h IS NOT NULL
+    UNION ALL
+    SELECT l.doc_id, l.tree, l.rank, 100 + f.level, f.h, f.place & 1
+    FROM ranked l JOIN subroots s ON s.tree = l.tree CROSS JOIN range(0, 64) AS r(level)
+    CROSS JOIN top t
+    LEFT JOIN forest f ON f.level = r.level AND f.place = xor(s.place >> r.level, 1)
+    WHERE r.level < t.height AND f.h IS NOT NULL
+),
+proofs AS (
+    SELECT doc_id, tree, rank, string_agg(h, '' ORDER BY level) AS siblings FROM steps GROUP BY ALL
+),
+folded AS (
+    SELECT tree, rank, 0 AS level, claimed AS h FROM ranked
+    UNION ALL
+    SELECT f.tree, f.rank, f.level + 1,
+           sha256(CASE WHEN s.goes_right = 0 THEN s.h || f.h WHEN s.goes_right = 1 THEN f.h || s.h ELSE f.h END)
+    FROM folded f JOIN subroots r ON r.tree = f.tree CROSS JOIN top t
+    LEFT JOIN steps s ON s.tree = f.tree AND s.rank = f.rank
+        AND s.level = CASE WHEN f.level < r.height THEN f.level ELSE 100 + f.level - r.height END
+    WHERE f.level < r.height + t.height
+)
+SELECT l.doc_id, l.leaf, s.h AS subroot, t.root, sha256(coalesce(p.siblings, '')) AS proof_sha256,
+       f.h AS folded_root, f.h = t.root AS verified
+FROM ranked l JOIN subroots s ON s.tree = l.tree CROSS JOIN top t
+LEFT JOIN proofs p ON p.tree = l.tree AND p.rank = l.rank
+JOIN folded f ON f.tree = l.tree AND f.rank = l.rank AND f.level = s.height + t.height
+"""
