@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from starflow.llm import (
     decontamination,
     language_id,
+    lexical_search,
     line_dedup,
     merkle,
     near_duplicates,
@@ -200,6 +201,13 @@ def op10_decontamination(spark, folder):
     )
 
 
+@query
+def op11_lexical_search(spark, folder):
+    return lexical_search.rank_documents(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
 @query
 def op12_merkle(spark, folder):
     docs = table(spark, folder, "documents")
@@ -305,6 +313,33 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_
 FROM doc_words d LEFT JOIN hit h USING (doc_id) LEFT JOIN items i USING (doc_id)
 """
 
+_TERMS = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')".format(_LOWER)
+
+ORACLE["op11_lexical_search"] = f"""
+WITH doc_terms AS (
+    SELECT doc_id, term, count(*) AS tf
+    FROM (SELECT doc_id, unnest({_TERMS}) AS term FROM documents) GROUP BY ALL
+),
+lengths AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM doc_terms GROUP BY doc_id),
+corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM lengths),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+    FROM doc_terms CROSS JOIN corpus GROUP BY term, docs
+),
+norms AS (SELECT doc_id, 50 + (50 * n * docs) // words AS m FROM lengths CROSS JOIN corpus),
+asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+scored AS (
+    SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+    FROM asked JOIN doc_terms USING (term) JOIN weights USING (term) JOIN norms USING (doc_id)
+    GROUP BY ALL
+),
+ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank
+    FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
 # A value as the leaf has it, and the unsigned crc32 of a decimal number.
 _FIELD = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
 _CRC32 = """xor(4294967295::BIGINT, list_reduce(
