@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -46,6 +47,19 @@ def in_batches(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS):
+    """Bounded Arrow batches for the plans that run inside; the caller's setting returns."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    in_batches(spark)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def keep(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends at the files."""
     path = path or new_folder(df.sparkSession, name)

@@ -13,15 +13,14 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from starflow.llm.common import Shared, in_batches, keep
+from starflow.llm.common import Shared, keep, small_batches
 
 K = 50
 
@@ -44,8 +43,6 @@ PIECE = 1 << 20
 # Sums are exact in double precision up to here.
 _EXACT = 2**53
 
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
-
 _TERM = re.compile(rb"[0-9a-z\x80-\xff]+")
 _ARRAYS = ("ids", "named", "lengths", "docs", "terms", "counts")
 _PACKED = "n_docs bigint, n_words bigint, " + ", ".join(f"{name} binary" for name in _ARRAYS)
@@ -68,19 +65,6 @@ def term_counts(text: bytes) -> Counter[bytes]:
     return counts
 
 
-@contextmanager
-def _batches(spark: SparkSession, rows: int | None = None):
-    """Bounded Arrow batches for the plans run inside; the caller's setting returns."""
-    before = spark.conf.get(_BATCH)
-    in_batches(spark)
-    if rows is not None:
-        spark.conf.set(_BATCH, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(_BATCH, before)
-
-
 def _packed(docs: DataFrame, terms: Shared) -> DataFrame:
     """Blocks: id, whether there is one, and length of each document with a term; its postings."""
 
@@ -247,7 +231,7 @@ def _answer(docs: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     id_type = asked.schema["id"].dataType
     queries = [(row["id"], term_counts((row["text"] or "").encode())) for row in asked.collect()]
     number = {t: i for i, t in enumerate(sorted(set().union(*(t for _, t in queries))))}
-    with _batches(spark):
+    with small_batches(spark):
         packed = keep(_packed(docs, Shared(spark, number, lambda known: known)), "search_packed")
         held = _holders(packed, len(number))
     totals = packed.agg(F.sum("n_docs").alias("docs"), F.sum("n_words").alias("words")).first()
@@ -275,7 +259,7 @@ def _answer(docs: DataFrame, asked: DataFrame, k: int) -> DataFrame:
         )
 
     schema = f"query int, id {id_type.simpleString()}, doc bigint, score bigint"
-    with _batches(spark, 1):
+    with small_batches(spark, 1):
         found = keep(packed.mapInArrow(search, schema), "search_found")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "doc")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

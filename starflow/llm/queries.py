@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starflow.llm import (
     decontamination,
+    html_text,
     language_id,
     lexical_search,
     line_dedup,
@@ -222,6 +223,13 @@ def op12_merkle(spark, folder):
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+@query
+def op13_html_text(spark, folder):
+    found = html_text.extract_text(table(spark, folder, "pages"))
+    n_chars = F.length("text").cast("bigint").alias("n_chars")
+    return found.select("page_id", "url", "text", n_chars, "removed")
+
+
 # ---- SQL equivalents -------------------------------------------------------------------------
 
 ORACLE["op8_top_k"] = """
