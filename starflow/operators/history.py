@@ -35,12 +35,13 @@ def merge_history(
     tracked: Sequence[str],
     as_of: Column | datetime | str | None,
     surrogate: str,
+    last: Column | None = None,
 ) -> DataFrame:
     """Next state of the dimension ``dim`` (``None`` on the first run) after ``incoming``.
 
     ``incoming`` has one row per key. A key with a changed tracked value gets its current version
     closed at ``as_of`` and a new one; a new key gets its first version; all else stays. Versions
-    added are numbered on from the largest surrogate key. Both sides have at most one row per key
+    added are numbered on from ``last``, by default the largest surrogate key of ``dim``. Both sides have at most one row per key
     in the join, so no key is heavy. Write the result to a new folder: files cannot be replaced
     while they are read.
     """
@@ -80,7 +81,8 @@ def merge_history(
     added = pairs.filter("__added").select(
         key, *(F.col(n).alias(c) for c, n in zip(tracked, news))
     )
-    last = dim.agg(F.max(surrogate)).scalar()
+    if last is None:
+        last = dim.agg(F.max(surrogate)).scalar()
     return (
         dim.filter(~F.col("is_current"))
         .select(*columns)

@@ -21,6 +21,7 @@ from pyspark.sql.types import (
 )
 
 from starflow.functions.expressions import hours_between, instant, lookup
+from starflow.operators.declared import Declared
 from starflow.operators.dimensions import calendar_dimension, conformed_dimension
 from starflow.operators.facts import Lookup, build_fact
 from starflow.operators.history import latest_per_key, merge_history
@@ -131,6 +132,29 @@ FACT = schema_of(
 )
 FACT_COLUMNS = tuple(FACT.fieldNames())
 
+# The lengths that texts of the served tables are declared with. Own addition: the keys
+# may not be missing.
+LENGTHS = {
+    "patient_id": 100, "gender": 20, "insurance_type": 50, "department": 50, "hospital_name": 100,
+    "month_name": 20, "day_name": 20, "event_type": 20, "event_id": 100, "admission_priority": 50,
+    "diagnosis_code": 100, "discharge_status": 50, "bed_id": 50,
+}
+
+
+def layout(schema: StructType, key: str) -> tuple[Declared, ...]:
+    return tuple(
+        Declared(f.name, f.dataType.simpleString(), LENGTHS.get(f.name), f.name != key)
+        for f in schema.fields
+    )
+
+
+LAYOUTS = {
+    "dim_patient": layout(DIM_PATIENT, "patient_sk"),
+    "dim_department": layout(DIM_DEPARTMENT, "department_sk"),
+    "dim_date": layout(DIM_DATE, "date_key"),
+    "fact_patient_flow": layout(FACT, "fact_id"),
+}
+
 # Departments, their beds, and known wrong spellings.
 BED_CAPACITY = {
     "Emergency": 40,

@@ -235,6 +235,9 @@ STAR = (
   LEFT JOIN departments d ON c.department = d.department AND c.hospital_id = d.hospital_id)"""
 )
 
+# The chain sets messages without an id aside, so none of its tables has a row of them.
+CHAIN = STAR.replace(first_copies(), first_copies(where="event_id IS NOT NULL"), 1)
+
 TWICE = """, twice AS (
   SELECT department_sk * 10 + load AS department_sk, department, hospital_id, hospital_name,
          bed_capacity
@@ -458,21 +461,23 @@ ORACLE: dict[str, str] = {
         """SELECT d.department, d.hospital_name, CAST(d.bed_capacity AS INT) AS bed_capacity,
           count(*) FILTER (WHERE f.is_currently_admitted) AS occupied_beds,
           CAST(count(*) FILTER (WHERE f.is_currently_admitted) AS DOUBLE)
-            / d.bed_capacity * 100 AS occupancy_pct
+            / nullif(d.bed_capacity, 0) * 100 AS occupancy_pct
         FROM v_fact_patient_flow f JOIN rekeyed d ON f.department_sk = d.department_sk
         GROUP BY d.department, d.hospital_name, d.bed_capacity""",
     ),
     "view_gender_by_department": select(
         VIEWS,
-        """SELECT d.department, p.gender, count(*) AS events
+        """SELECT p.gender, d.department, count(*) AS patient_count
         FROM v_fact_patient_flow f JOIN rekeyed d ON f.department_sk = d.department_sk
-        JOIN patients p ON f.patient_sk = p.patient_sk GROUP BY d.department, p.gender""",
+        JOIN patients p ON f.patient_sk = p.patient_sk AND p.is_current
+        GROUP BY p.gender, d.department""",
     ),
     "view_avg_stay": select(
         VIEWS,
-        """SELECT d.department, round(avg(f.length_of_stay_hrs), 2) AS avg_stay_hrs
+        """SELECT d.department, round(avg(f.length_of_stay_hrs), 2) AS avg_stay_hrs,
+          count(*) AS total_discharges
         FROM v_fact_patient_flow f JOIN rekeyed d ON f.department_sk = d.department_sk
-        WHERE f.event_type = 'DISCHARGE' GROUP BY d.department""",
+        WHERE f.event_type = 'DISCHARGE' AND f.length_of_stay_hrs > 0 GROUP BY d.department""",
     ),
     "view_admissions_by_weekday": select(
         VIEWS,
@@ -575,7 +580,7 @@ ORACLE: dict[str, str] = {
         GROUP BY d.department""",
     ),
     "chained_load": select(
-        STAR,
+        CHAIN,
         """SELECT 'bronze' AS table_name, count(*) AS row_count FROM coordinates
         UNION ALL SELECT 'silver', count(*) FROM clean
         UNION ALL SELECT 'fact_patient_flow', count(*) FROM fact
@@ -584,7 +589,7 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'dim_date', count(*) FROM days""",
     ),
     "chained_second_load": select(
-        STAR,
+        CHAIN,
         """SELECT 'bronze' AS table_name, count(*) AS row_count FROM coordinates
         UNION ALL SELECT 'silver', count(*) FROM clean
         UNION ALL SELECT 'fact_patient_flow', count(*) FROM fact
@@ -630,3 +635,156 @@ ORACLE: dict[str, str] = {
           CAST(o_orderdate AS TIMESTAMP) AS o_orderdate
         FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey""",
 }
+
+# ---- loads -----------------------------------------------------------------------------------
+
+_LATE_EVEN = "batch = 1 OR message_partition % 2 = 0"
+ORACLE["append_in_buckets"] = select(
+    PARSED
+    + first_copies(name="firsts1", where="batch = 1")
+    + cleaned("firsts1", "load1")
+    + first_copies(name="firsts2", where=_LATE_EVEN)
+    + cleaned("firsts2", "load2")
+    + first_copies()
+    + cleaned(),
+    """SELECT event_id, patient_id, department, sent_at AS _bronze_eventhub_ts, _dq_flags, 1 AS load_no
+    FROM load1
+    UNION ALL
+    SELECT event_id, patient_id, department, sent_at, _dq_flags, 2 FROM load2 c
+    WHERE NOT EXISTS (SELECT 1 FROM load1 o WHERE o.event_id IS NOT DISTINCT FROM c.event_id)
+    UNION ALL
+    SELECT event_id, patient_id, department, sent_at, _dq_flags, 3 FROM clean c
+    WHERE NOT EXISTS (SELECT 1 FROM load2 o WHERE o.event_id IS NOT DISTINCT FROM c.event_id)""",
+)
+ORACLE["scd2_in_place"] = ORACLE["scd2_second_load"]
+ORACLE["incremental_fact"] = select(
+    CHAIN,
+    """SELECT f.* EXCLUDE (fact_id, patient_sk, department_sk, _gold_processed_at),
+      p.patient_id AS version_of, p.gender, p.age, p.insurance_type, d.department, d.hospital_id,
+      d.hospital_name, CAST(d.bed_capacity AS INT) AS bed_capacity
+    FROM fact f LEFT JOIN patients p ON f.patient_sk = p.patient_sk
+    LEFT JOIN departments d ON f.department_sk = d.department_sk""",
+)
+_FLAGS = [
+    "FUTURE_ADMISSION", "INVALID_AGE", "DISCHARGE_BEFORE_ADMIT", "DEPT_TYPO", "INVALID_HOSPITAL_ID",
+    "MISSING_PATIENT_ID", "MISSING_EVENT_TYPE", "MISSING_DEPARTMENT",
+]
+_MEASURED = [
+    ("silver", "rows", "clean"),
+    ("silver", "CLEAN", "clean WHERE _dq_flags = 'CLEAN'"),
+    *(("silver", f, f"clean WHERE list_contains(string_split(_dq_flags, '|'), '{f}')") for f in _FLAGS),
+    ("dim_patient", "rows", "patients"),
+    ("dim_patient", "current", "patients WHERE is_current"),
+    ("dim_department", "rows", "departments"),
+    ("dim_date", "rows", "days"),
+    ("fact_patient_flow", "rows", "fact"),
+    ("fact_patient_flow", "currently_admitted", "fact WHERE is_currently_admitted"),
+    ("fact_patient_flow", "without_patient", "fact WHERE patient_sk IS NULL"),
+    ("fact_patient_flow", "without_department", "fact WHERE department_sk IS NULL"),
+]
+ORACLE["load_report"] = select(
+    CHAIN,
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{m}' AS measure, count(*) AS amount FROM {source}"
+        for t, m, source in _MEASURED
+    ),
+)
+ORACLE["stream_progress"] = select(
+    FEED,
+    """SELECT 'capped_landing' AS query_name, CAST(5 AS BIGINT) AS batches, count(*) AS row_count,
+    CAST(0 AS BIGINT) AS first_batch, CAST(4 AS BIGINT) AS last_batch, CAST(0 AS BIGINT) AS unplaced
+    FROM coordinates""",
+)
+
+# ---- history and stays -----------------------------------------------------------------------
+
+_VERSIONS = ORACLE["scd2_second_load"]
+ORACLE["fact_as_of"] = f"""
+WITH versions AS ({_VERSIONS}), events_as AS ({select(SILVER, "SELECT * FROM clean")}),
+timed AS (
+  SELECT e.event_id, v.*  FROM events_as e ASOF JOIN versions v
+  ON e.patient_id = v.patient_id AND e.event_timestamp >= v.effective_from
+  WHERE v.effective_to IS NULL OR v.effective_to > e.event_timestamp)
+SELECT e.event_id, e.event_type, e.patient_id, e.event_timestamp, t.patient_sk, t.gender, t.age,
+  t.insurance_type
+FROM events_as e LEFT JOIN timed t ON e.event_id = t.event_id
+"""
+STAYS = SILVER + """, ends AS (
+  SELECT patient_id, event_timestamp AS moment, event_id, department, hospital_id,
+         event_type = 'ADMISSION' AS begins
+  FROM clean WHERE patient_id IS NOT NULL AND event_timestamp IS NOT NULL
+  AND event_type IN ('ADMISSION', 'DISCHARGE')),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY moment, begins, event_id) AS i FROM ends),
+stays AS (
+  SELECT b.patient_id, b.event_id AS began_by, b.moment AS began_at,
+         CASE WHEN NOT n.begins THEN n.event_id END AS ended_by, n.moment AS ended_at,
+         CASE WHEN n.moment IS NULL THEN 'OPEN' WHEN n.begins THEN 'REPLACED' ELSE 'CLOSED' END AS status,
+         b.department, b.hospital_id
+  FROM numbered b LEFT JOIN numbered n ON n.patient_id = b.patient_id AND n.i = b.i + 1
+  WHERE b.begins
+  UNION ALL
+  SELECT e.patient_id, NULL, NULL, e.event_id, e.moment, 'UNOPENED', e.department, e.hospital_id
+  FROM numbered e LEFT JOIN numbered p ON p.patient_id = e.patient_id AND p.i = e.i - 1
+  WHERE NOT e.begins AND coalesce(NOT p.begins, TRUE))"""
+ORACLE["stays"] = select(STAYS, "SELECT * FROM stays")
+ORACLE["census"] = select(
+    STAYS
+    + f""", real AS (
+  SELECT department, hospital_id, date_trunc('hour', began_at) AS first_hour,
+         date_trunc('hour', ended_at) AS last_hour
+  FROM stays WHERE began_at <= {AS_OF}),
+hours AS (
+  SELECT department, hospital_id, unnest(generate_series(min(first_hour), {AS_OF}, INTERVAL 1 HOUR)) AS hour
+  FROM real GROUP BY department, hospital_id)""",
+    """SELECT h.department, h.hospital_id, h.hour,
+      (SELECT count(*) FROM real r WHERE r.department IS NOT DISTINCT FROM h.department
+       AND r.hospital_id IS NOT DISTINCT FROM h.hospital_id AND r.first_hour <= h.hour
+       AND (r.last_hour IS NULL OR r.last_hour > h.hour)) AS present
+    FROM hours h""",
+)
+
+# ---- declared layouts ------------------------------------------------------------------------
+
+ORACLE["declared_layout_check"] = select(
+    STAR,
+    """SELECT 'dim_patient' AS table_name, count(*) AS row_count, count(*) FILTER (WHERE patient_sk IS NULL
+      OR length(patient_id) > 100 OR length(gender) > 20 OR length(insurance_type) > 50) AS faulty_rows
+    FROM patients
+    UNION ALL SELECT 'dim_department', count(*), count(*) FILTER (WHERE department_sk IS NULL
+      OR length(department) > 50 OR length(hospital_name) > 100) FROM departments
+    UNION ALL SELECT 'dim_date', count(*), count(*) FILTER (WHERE date_key IS NULL
+      OR length(month_name) > 20 OR length(day_name) > 20) FROM days
+    UNION ALL SELECT 'fact_patient_flow', count(*), count(*) FILTER (WHERE fact_id IS NULL
+      OR length(event_type) > 20 OR length(event_id) > 100 OR length(patient_id) > 100
+      OR length(admission_priority) > 50 OR length(diagnosis_code) > 100
+      OR length(discharge_status) > 50 OR length(bed_id) > 50) FROM fact""",
+)
+_FAULTS = [
+    ("event_id", "MISSING", "event_id IS NULL"),
+    ("event_id", "LENGTH", "length(event_id) > 4"),
+    ("patient_id", "MISSING", "patient_id IS NULL"),
+    ("department", "LENGTH", "length(department) > 9"),
+    ("bed_id", "TYPE", "bed_id IS NOT NULL AND try_cast(bed_id AS INT) IS NULL"),
+    ("admission_time", "MISSING", "admission_time IS NULL"),
+    ("ward", "ABSENT", "TRUE"),
+]
+ORACLE["declared_schema_violations"] = select(
+    PARSED,
+    "SELECT * FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{kind}' AS violation, count(*) AS row_count FROM parsed WHERE {test}"
+        for c, kind, test in _FAULTS
+    )
+    + ") WHERE row_count > 0",
+)
+ORACLE["enforced_rows"] = select(
+    PARSED,
+    """SELECT faults <> '' AS faulty, event_id, department, faults FROM (
+      SELECT event_id, department, concat_ws(',',
+        CASE WHEN event_id IS NULL THEN 'event_id:MISSING' END,
+        CASE WHEN length(event_id) > 4 THEN 'event_id:LENGTH' END,
+        CASE WHEN patient_id IS NULL THEN 'patient_id:MISSING' END,
+        CASE WHEN length(department) > 9 THEN 'department:LENGTH' END) AS faults
+      FROM parsed)""",
+)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,8 +30,19 @@ from starflow.operators import (
     skew_join,
 )
 from starflow.operators import measures as m
+from starflow.operators.buckets import (
+    BUCKET,
+    append_buckets,
+    new_in_buckets,
+    open_buckets,
+    update_history,
+)
+from starflow.operators.declared import VIOLATIONS, Declared, enforce, violation_counts, violations
+from starflow.operators.temporal import as_of_join, census_by_hour, pair_stays
 from starflow.plans import admissions as a
-from starflow.plans.medallion import SERVED, Store, run_chain
+from starflow.plans.incremental import load_increment
+from starflow.plans.medallion import SERVED, Store, load_gold, load_silver, open_report, run_chain
+from starflow.plans.views import READS, define_views
 from starflow.session import new_folder, use_settings
 from starflow.sources.tables import (
     append_table,
@@ -43,6 +54,7 @@ from starflow.sources.tables import (
     write_table,
 )
 from starflow.streaming.landing import LANDED_SCHEMA, envelope, land
+from starflow.streaming.progress import ProgressTable, read_progress
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -372,43 +384,57 @@ def key_remap(spark, folder):
     return remap_keys(fact, pairs, "department_sk", spread_by=["event_id"])
 
 
-def served_views(spark, folder) -> dict[str, DataFrame]:
-    """The four views over tables that were loaded twice, registered under their names.
+FACT_VIEW, DEPARTMENT_VIEW = "v_fact_patient_flow", "v_dim_department"
+
+
+def served_views(spark, folder, *names: str, fact: tuple[str, ...] = a.FACT_COLUMNS) -> dict[str, DataFrame]:
+    """The views in ``names`` over tables that were loaded twice, defined under their names.
 
     Arrivals carry the department keys of the first load and departures those of the second; the
-    fact view puts the key of the department view in their place and has all columns.
+    fact view puts the key of the department view in their place. Only tables that the views read
+    are built, and of the fact only the columns in ``fact``.
     """
-    star = Star(spark, folder, *a.SILVER.fieldNames())
-    old = stage(loaded_twice(star.departments), "dim_department")
-    departments = stored(department_view(old), "dim_department")
-    load = F.when(F.col("event_type") == "DISCHARGE", 1).otherwise(0)
-    fact = star.fact().withColumn("department_sk", F.col("department_sk") * 10 + load)
-    pairs = stage(key_map(old, departments, "department_sk", ["department", "hospital_id"]), "key_map")
-    views = {
-        "v_dim_department": departments,
-        "v_dim_date": stage(star.dates.unionByName(star.dates).distinct(), "dim_date"),
-        "v_dim_patient": stage(star.patients.unionByName(star.patients).distinct(), "dim_patient"),
-        "v_fact_patient_flow": stage(
-            remap_keys(fact, pairs, "department_sk", spread_by=["event_id"]), "fact_patient_flow"
-        ),
-    }
-    register_views(views)
-    return views
+    inputs = {
+        "v_dim_department": DEPARTMENT_INPUT, "v_dim_date": DATE_INPUT, "v_dim_patient": PATIENT_INPUT,
+        FACT_VIEW: (*DEPARTMENT_INPUT, "event_type", *a.fact_inputs(fact)),
+    }
+    needed = [c for name in names for c in inputs[name]]
+    if FACT_VIEW in names and "patient_sk" in fact:
+        needed += PATIENT_INPUT
+    star = Star(spark, folder, *needed)
+
+    def flow() -> DataFrame:
+        load = F.when(F.col("event_type") == "DISCHARGE", 1).otherwise(0)
+        columns = tuple(dict.fromkeys([*fact, "event_type", "department_sk"]))
+        rows = star.fact(*columns).withColumn("department_sk", F.col("department_sk") * 10 + load)
+        return rows.select(*fact)
+
+    return define_views(
+        spark,
+        {
+            "dim_department": lambda: stage(loaded_twice(star.departments), "dim_department"),
+            "dim_date": lambda: star.dates.unionByName(star.dates),
+            "dim_patient": lambda: star.patients.unionByName(star.patients),
+            "fact_patient_flow": flow,
+        },
+        names,
+    )
 
 
 @query
 def v_fact_patient_flow(spark, folder):
-    return served_views(spark, folder)["v_fact_patient_flow"]
+    return served_views(spark, folder, FACT_VIEW)[FACT_VIEW].select(*a.FACT_COLUMNS)
 
 
 @query
 def view_row_counts(spark, folder):
-    return row_counts(served_views(spark, folder))
+    fact = ("event_id", "department_sk")
+    return row_counts(served_views(spark, folder, *READS, fact=fact))
 
 
 def previewed(view: str, order: list[str]) -> Query:
     def show(spark, folder):
-        return preview(served_views(spark, folder)[view], order, 5)
+        return preview(served_views(spark, folder, view)[view], order, 5)
 
     return query(show, f"preview_{view}")
 
@@ -421,52 +447,63 @@ previewed("v_dim_date", ["date_key"])
 
 @query
 def view_occupancy(spark, folder):
-    """The occupancy figure in SQL over the registered views."""
-    served_views(spark, folder)
+    """The occupancy figure in SQL over the views."""
+    fact = ("department_sk", "is_currently_admitted")
+    served_views(spark, folder, FACT_VIEW, DEPARTMENT_VIEW, fact=fact)
     return spark.sql(
         """
         SELECT d.department, d.hospital_name, d.bed_capacity,
                count_if(f.is_currently_admitted) AS occupied_beds,
-               count_if(f.is_currently_admitted) / d.bed_capacity * 100 AS occupancy_pct
+               count_if(f.is_currently_admitted) / nullif(d.bed_capacity, 0) * 100 AS occupancy_pct
         FROM v_fact_patient_flow f JOIN v_dim_department d ON f.department_sk = d.department_sk
         GROUP BY d.department, d.hospital_name, d.bed_capacity
+        ORDER BY occupancy_pct DESC, d.department, d.hospital_name
         """
     )
 
 
 @query
 def view_gender_by_department(spark, folder):
-    served_views(spark, folder)
+    fact = ("department_sk", "patient_sk")
+    served_views(spark, folder, FACT_VIEW, DEPARTMENT_VIEW, "v_dim_patient", fact=fact)
     return spark.sql(
         """
-        SELECT d.department, p.gender, count(*) AS events
+        SELECT p.gender, d.department, count(*) AS patient_count
         FROM v_fact_patient_flow f JOIN v_dim_department d ON f.department_sk = d.department_sk
-             JOIN v_dim_patient p ON f.patient_sk = p.patient_sk
-        GROUP BY d.department, p.gender
+             JOIN v_dim_patient p ON f.patient_sk = p.patient_sk AND p.is_current
+        GROUP BY p.gender, d.department
+        ORDER BY d.department, p.gender
         """
     )
 
 
 @query
 def view_avg_stay(spark, folder):
-    served_views(spark, folder)
+    fact = ("department_sk", "event_type", "length_of_stay_hrs")
+    served_views(spark, folder, FACT_VIEW, DEPARTMENT_VIEW, fact=fact)
     return spark.sql(
         """
-        SELECT d.department, round(avg(f.length_of_stay_hrs), 2) AS avg_stay_hrs
+        SELECT d.department, round(avg(f.length_of_stay_hrs), 2) AS avg_stay_hrs,
+               count(*) AS total_discharges
         FROM v_fact_patient_flow f JOIN v_dim_department d ON f.department_sk = d.department_sk
-        WHERE f.event_type = 'DISCHARGE' GROUP BY d.department
+        WHERE f.event_type = 'DISCHARGE' AND f.length_of_stay_hrs > 0
+        GROUP BY d.department
+        ORDER BY avg_stay_hrs DESC, d.department
         """
     )
 
 
 @query
 def view_admissions_by_weekday(spark, folder):
-    served_views(spark, folder)
+    fact = ("department_sk", "event_type", "admission_date")
+    served_views(spark, folder, FACT_VIEW, "v_dim_date", fact=fact)
     return spark.sql(
         """
         SELECT d.day_name, d.is_weekend, count(*) AS admissions
         FROM v_fact_patient_flow f JOIN v_dim_date d ON f.admission_date = d.date_key
-        WHERE f.event_type = 'ADMISSION' GROUP BY d.day_name, d.is_weekend
+        WHERE f.event_type = 'ADMISSION'
+        GROUP BY d.day_name, d.day_of_week, d.is_weekend
+        ORDER BY d.day_of_week
         """
     )
 
@@ -623,6 +660,170 @@ def chained_second_load(spark, folder):
     )
 
 
+def three_loads(spark, folder) -> list[DataFrame]:
+    """The messages in three parts, as a broker would hand them over."""
+    sent = messages(spark, folder)
+    late, even = F.col("batch") == 2, F.col("partition") % 2 == 0
+    parts = (~late, late & even, late & ~even)
+    return [envelope(sent.filter(part), feed.LINEAGE, feed.AS_OF) for part in parts]
+
+
+@query
+def append_in_buckets(spark, folder):
+    """Three loads into a table dealt to buckets; each has what came before once more."""
+    columns = ["event_id", "patient_id", "department", "_bronze_eventhub_ts", "_dq_flags"]
+    parts, path, arrived = three_loads(spark, folder), new_folder(spark, "append_in_buckets"), None
+    for load, part in enumerate(parts, 1):
+        arrived = part if arrived is None else arrived.unionByName(part)
+        cleaned = a.clean(arrived, feed.AS_OF, columns).withColumn("load_no", F.lit(load))
+        batch = stage(cleaned, "batch")
+        known = open_buckets(spark, path, batch.schema)
+        append_buckets(new_in_buckets(batch, known, "event_id"), path, "event_id")
+    return open_buckets(spark, path, batch.schema).drop(BUCKET)
+
+
+@query
+def scd2_in_place(spark, folder):
+    """Two loads of the patient history, of which the second rewrites only the buckets it changes."""
+    path = new_folder(spark, "dim_patient")
+    for batch, as_of in ((1, feed.FIRST_LOAD), (2, feed.AS_OF)):
+        rows = a.clean(landed_batch(spark, folder, batch), feed.AS_OF, PATIENT_INPUT)
+        latest = stage(a.latest_patients(rows), "latest")
+        update_history(latest, path, a.DIM_PATIENT, "patient_id", a.TRACKED, as_of, "patient_sk")
+    return open_buckets(spark, path, a.DIM_PATIENT).drop(BUCKET)
+
+
+@query
+def incremental_fact(spark, folder):
+    """Three loads of the chain; the facts with what their keys stand for."""
+    store = Store(new_folder(spark, "incremental"))
+    for part, as_of in zip(three_loads(spark, folder), (feed.FIRST_LOAD, feed.AS_OF, feed.AS_OF)):
+        append_table(part, store.bronze)
+        load_silver(spark, store, feed.AS_OF)
+        live = load_increment(spark, store, as_of)
+    patients = live.patients().filter("is_current").select(
+        "patient_sk", F.col("patient_id").alias("version_of"), *a.TRACKED
+    )
+    departments = live.departments().select(*a.DIM_DEPARTMENT.fieldNames())
+    facts = live.fact().drop("fact_id", "_gold_processed_at")
+    # Sizes are in the files, so the planner knows which side is small.
+    joined = facts.join(patients, "patient_sk", "left").join(departments, "department_sk", "left")
+    return joined.drop("patient_sk", "department_sk")
+
+
+@query
+def load_report(spark, folder):
+    """What a load of the chain has written, counted while it was written."""
+    store = Store(new_folder(spark, "load_report"))
+    append_table(landed(spark, folder), store.bronze)
+    load_silver(spark, store, feed.AS_OF)
+    load_gold(spark, store, "1", feed.AS_OF)
+    return open_report(spark, store)
+
+
+@query
+def stream_progress(spark, folder):
+    """Landing in capped micro-batches, as the stream reports them."""
+    root = new_folder(spark, "stream_progress")
+    sent = messages(spark, folder).drop("batch")
+    write_table(sent.repartition(5), f"{root}/inbox")
+    arriving = open_stream(spark, "parquet", {"maxFilesPerTrigger": "1"}, sent.schema, f"{root}/inbox")
+    with ProgressTable(spark, f"{root}/progress", {"capped_landing"}):
+        rows = envelope(arriving, feed.LINEAGE, feed.AS_OF)
+        land(rows, f"{root}/out", f"{root}/check", "capped_landing").awaitTermination()
+    return read_progress(spark, f"{root}/progress").groupBy("query_name").agg(
+        F.count(F.lit(1)).alias("batches"), F.sum("rows").alias("row_count"),
+        F.min("batch_id").alias("first_batch"), F.max("batch_id").alias("last_batch"),
+        F.count_if(F.col("end_offset").isNull() | F.col("started").isNull()).alias("unplaced"),
+    )
+
+
+# ---- history and stays -----------------------------------------------------------------------
+
+
+@query
+def fact_as_of(spark, folder):
+    """Each event with the version of its patient that was valid at its time."""
+    dim = stage(QUERIES["scd2_second_load"](spark, folder), "dim_patient")
+    events = silver(spark, folder, "event_id", "event_type", "patient_id", "event_timestamp")
+    columns = ["patient_sk", *a.TRACKED]
+    return as_of_join(
+        events, dim, ["patient_id"], "event_timestamp", "effective_from", "effective_to", columns
+    )
+
+
+STAY_INPUT = ("event_id", "event_type", "patient_id", "event_timestamp", "department", "hospital_id")
+
+
+def patient_stays(spark, folder) -> DataFrame:
+    begins, ends = F.col("event_type") == "ADMISSION", F.col("event_type") == "DISCHARGE"
+    return pair_stays(
+        silver(spark, folder, *STAY_INPUT), "patient_id", "event_timestamp", "event_id", begins, ends,
+        ["department", "hospital_id"],
+    )
+
+
+@query
+def stays(spark, folder):
+    return patient_stays(spark, folder)
+
+
+@query
+def census(spark, folder):
+    """Patients present in each department of each hospital, hour by hour."""
+    until = F.to_timestamp(F.lit(feed.AS_OF))
+    return census_by_hour(patient_stays(spark, folder), ["department", "hospital_id"], until)
+
+
+# ---- declared layouts ------------------------------------------------------------------------
+
+
+@query
+def declared_layout_check(spark, folder):
+    """The served tables against the lengths, types and keys that they are declared with."""
+    star = Star(spark, folder, *a.SILVER.fieldNames())
+    tables = {
+        "dim_patient": star.patients, "dim_department": star.departments, "dim_date": star.dates,
+        "fact_patient_flow": star.fact(),
+    }
+    checked = [
+        df.agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.count_if(F.size(violations(df, a.LAYOUTS[name])) > 0).alias("faulty_rows"),
+        ).select(F.lit(name).alias("table_name"), "row_count", "faulty_rows")
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, checked)
+
+
+# Own values, narrower than the feed, so that faults of each kind occur.
+INTAKE = (
+    Declared("event_id", "string", 4, nullable=False), Declared("patient_id", "string", 100, nullable=False),
+    Declared("department", "string", 9), Declared("bed_id", "int"), Declared("age", "int"),
+    Declared("admission_time", "timestamp", nullable=False), Declared("ward", "string"),
+)
+
+
+def intake(spark, folder) -> DataFrame:
+    names = [c.name for c in INTAKE if c.name in a.MESSAGE.fieldNames()]
+    return a.parse(landed(spark, folder), names).select(*names)
+
+
+@query
+def declared_schema_violations(spark, folder):
+    return violation_counts(intake(spark, folder), INTAKE)
+
+
+@query
+def enforced_rows(spark, folder):
+    """Faulty rows are set aside in the job that writes the good ones; read back, both are there."""
+    marked = enforce(intake(spark, folder), INTAKE[:3])
+    marked = marked.withColumn("faulty", F.size(VIOLATIONS) > 0)
+    path = write_table(marked, new_folder(spark, "enforced"), partition_by=("faulty",))
+    back = open_declared(spark, path, marked.schema)
+    return back.select("faulty", "event_id", "department", F.array_join(VIOLATIONS, ",").alias("faults"))
+
+
 # ---- the same operators on other tables ------------------------------------------------------
 
 

@@ -64,6 +64,11 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other run uses."""
     path = f"{shared_root(spark)}/{name}/run={uuid.uuid4().hex}"

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampNTZType
 
-from starflow.session import new_folder
+from starflow.session import new_folder, path_exists
 
 
 def open_table(
@@ -33,12 +32,7 @@ def open_if_there(
     spark: SparkSession, path: str, schema: str | StructType, format: str = "parquet"
 ) -> DataFrame | None:
     """Like ``open_declared``; ``None`` before the first load has made the folder."""
-    try:
-        return open_declared(spark, path, schema, format)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+    return open_declared(spark, path, schema, format) if path_exists(spark, path) else None
 
 
 def open_stream(

@@ -39,11 +39,11 @@ def test_no_event_is_lost_whatever_its_landing_time(spark):
     m.load_silver(spark, store, LATE)
     put(spark, store, EARLY, event(3), event(2), "not json", {"event_id": None})
     m.load_silver(spark, store, LATE)
-    assert ids(spark, store) == ["X1", "X2", "X3", "none"]
+    assert ids(spark, store) == ["X1", "X2", "X3"]
     m.load_silver(spark, store, LATE)  # nothing new
     put(spark, store, LATE, event(1), event(3), {"event_id": None})  # a replay
     m.load_silver(spark, store, LATE)
-    assert ids(spark, store) == ["X1", "X2", "X3", "none"]
+    assert ids(spark, store) == ["X1", "X2", "X3"]
     aside = spark.read.parquet(f"{store.root}/quarantine/patient_flow")
     assert sorted(r["reason"] for r in aside.collect()) == ["NO_KEY", "NO_KEY", "UNREADABLE"]
     assert {r["raw_json"] for r in aside.filter("reason = 'UNREADABLE'").collect()} == {"not json"}
@@ -52,16 +52,16 @@ def test_no_event_is_lost_whatever_its_landing_time(spark):
 def test_a_failed_batch_is_taken_again_and_adds_nothing_twice(spark, monkeypatch):
     store = m.Store(new_folder(spark, "chain"))
     put(spark, store, LATE, event(1), event(2))
-    write = m.append_table
+    write = m.append_buckets
 
-    def write_and_die(df, path):
-        write(df, path)
+    def write_and_die(df, path, key):
+        write(df, path, key)
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(m, "append_table", write_and_die)
+    monkeypatch.setattr(m, "append_buckets", write_and_die)
     with pytest.raises(Exception, match="lost"):
         m.load_silver(spark, store, LATE)
-    monkeypatch.setattr(m, "append_table", write)
+    monkeypatch.setattr(m, "append_buckets", write)
     m.load_silver(spark, store, LATE)
     assert ids(spark, store) == ["X1", "X2"]
 
@@ -71,6 +71,65 @@ def test_a_run_does_not_overwrite_what_it_reads(spark):
         m.load_gold(spark, m.Store("unused"), "1", LATE, before="1")
 
 
+GOLD = ("dim_patient", "dim_department", "dim_date", "fact_patient_flow")
+
+
+@pytest.mark.parametrize("broken", ["bronze", "silver", *GOLD])
+def test_a_failed_run_goes_on_where_it_failed(spark, monkeypatch, broken):
+    store = m.Store(new_folder(spark, "chain"))
+    sent = landed(spark, event(1), event(2)).select(
+        F.col("event_key").cast("binary").alias("key"), F.col("raw_json").cast("binary").alias("value"),
+        "topic", "partition", "offset", F.col("eventhub_timestamp").alias("timestamp"),
+    )
+    append_table(sent, f"{store.root}/inbox")
+    written, failing = [], [True]
+
+    def watched(name, step):
+        def run(*args):
+            if name == broken and failing[0]:
+                raise RuntimeError("lost")
+            written.append(name)
+            return step(*args)
+
+        return run
+
+    monkeypatch.setattr(m, "land_messages", watched("bronze", m.land_messages))
+    monkeypatch.setattr(m, "load_silver", watched("silver", m.load_silver))
+    plain_write = m.LoadReport.write
+
+    def gold_write(self, df, path, table, measures=None):
+        if table == broken and failing[0]:
+            raise RuntimeError("lost")
+        written.append(table)
+        return plain_write(self, df, path, table, measures)
+
+    monkeypatch.setattr(m.LoadReport, "write", gold_write)
+
+    def run():
+        arriving = open_stream(spark, "parquet", {}, sent.schema, f"{store.root}/inbox")
+        return m.run_chain(spark, store, arriving, "test", "1", LATE, ingested_at=LATE)
+
+    with pytest.raises(RuntimeError, match="lost"):
+        run()
+    with pytest.raises(LookupError):
+        m.open_run(spark, store)
+    before, failing[0] = list(written), False
+    assert run()["fact_patient_flow"].count() == 2
+    steps = ["bronze", "silver", *GOLD]
+    assert before == steps[: steps.index(broken)]
+    assert written == steps  # each was done once
+    assert {t: df.count() for t, df in m.open_run(spark, store).items()}["dim_patient"] == 1
+    run()
+    assert written == steps
+    report = {(r["table_name"], r["measure"]): r["amount"] for r in m.open_report(spark, store).collect()}
+    assert report["silver", "rows"] == report["fact_patient_flow", "rows"] == 2
+
+
+def test_a_run_starts_from_a_complete_one(spark):
+    with pytest.raises(LookupError):
+        m.load_gold(spark, m.Store(new_folder(spark, "chain")), "2", LATE, before="1")
+
+
 def test_landing_goes_on_after_a_restart(spark):
     root = new_folder(spark, "landing")
     sent = spark.createDataFrame([(i,) for i in range(6)], "n int").selectExpr(
