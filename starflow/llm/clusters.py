@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starflow.llm.common import by_size, keep
 from starflow.llm.components import components
 
 # Shingles whose columns are multiplied at once.
@@ -42,6 +43,19 @@ def blocks(edges: DataFrame, size: int) -> DataFrame:
     return placed.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
 
 
+def blocks_by_items(edges: DataFrame, sizes: DataFrame, most: int) -> DataFrame:
+    """Like ``blocks``, for sets of very different sizes: ``sizes`` has ``id`` and ``n``, and a block
+    has about ``most`` items, or one set that has more. The result is stored."""
+    nodes = components(edges).select(F.col("node").alias("id"), F.col("root").alias("cluster"))
+    placed = keep(nodes.join(sizes.hint("merge"), "id"), "cluster_nodes")
+    large = placed.groupBy("cluster").agg(F.ceil(F.sum("n") / most).cast("int").alias("blocks"))
+    # Clusters of one block, nearly all, are not looked up.
+    large = keep(large.filter(F.col("blocks") > 1), "cluster_large")
+    placed = by_size(placed, large, ["cluster"], "left").fillna(1, ["blocks"])
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")
+    return keep(placed.select("id", "cluster", "blocks", block), "cluster_blocks")
+
+
 def cluster_members(sets: DataFrame, placed: DataFrame, roots: DataFrame) -> DataFrame:
     """``id, root, items, cluster, blocks, block`` of ``sets`` with ``id, items``."""
     roots = roots.withColumnRenamed("node", "id")

@@ -77,6 +77,23 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{new_folder(spark, name)}-{uuid.uuid4().hex[:8]}"
 
 
+class Tables:
+    """Stored tables of one run, each deleted when its last reader has run, so that the disk holds
+    what is still needed."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name = spark, name
+        self._at: dict[str, str] = {}
+
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        self._at[name] = shared_folder(self.spark, f"{self.name}_{name}")
+        return keep(df, name, self._at[name])
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            drop_folder(self.spark, self._at.pop(name))
+
+
 def by_size(df: DataFrame, small: DataFrame, on: list[str], how: str, bound: int = BROADCAST_BYTES):
     """Join with a stored table that is broadcast if it is small and shuffled if it is not.
 
