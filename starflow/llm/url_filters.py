@@ -29,9 +29,9 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
 
 
-def patterns_of(url: Column) -> Column:
+def patterns_of(url: Column, deepest: Column | int = 2**30) -> Column:
     """All patterns that can match: the host, its parent domains (from two labels on), and the host
-    with each leading part of the path that ends in a slash."""
+    with each leading part of the path that ends in a slash, up to ``deepest`` slashes."""
     host = host_of(url)
     labels = F.split(host, r"\.")
     n = F.size(labels)
@@ -40,7 +40,7 @@ def patterns_of(url: Column) -> Column:
         lambda i: F.array_join(F.slice(labels, i, F.greatest(n - i + 1, F.lit(0))), "."),
     )
     parts = F.split(path_of(url), "/")
-    depth = F.size(parts) - 1
+    depth = F.least(F.size(parts) - 1, F.lit(deepest))
     prefixes = F.when(
         depth >= 1,
         F.transform(
@@ -77,6 +77,37 @@ def intervals(entries: DataFrame) -> DataFrame:
     )
 
 
+def _by_period(dated: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The intervals by ``pattern, period``: in the period where each begins, and in each wanted one
+    that it reaches from an earlier one.
+
+    An interval is not copied to the periods that it spans; the last one of each period is carried
+    forward to those that are asked for, however far they are apart.
+    """
+    fields = ("category", "listed_at", "until")
+    began = F.floor(F.col("listed_at") / PERIOD).alias("period")
+    starts = dated.select("pattern", began, *fields)
+    newest = F.max(F.struct("listed_at", "category", "until")).alias("newest")
+    ends = starts.groupBy("pattern", "period").agg(newest)
+    marks = ends.select("pattern", "period", "newest", F.lit(False).alias("asked")).unionByName(
+        wanted.select("pattern", "period", F.lit(True).alias("asked")), allowMissingColumns=True
+    )
+    # One row for a pattern and a period, so a pattern has no more rows than there are periods.
+    marks = marks.groupBy("pattern", "period").agg(
+        F.max("newest").alias("newest"), F.max("asked").alias("asked")
+    )
+    earlier = Window.partitionBy("pattern").orderBy("period").rowsBetween(Window.unboundedPreceding, -1)
+    carried = marks.withColumn("before", F.last("newest", ignorenulls=True).over(earlier))
+    carried = carried.filter(F.col("asked") & F.col("before").isNotNull())
+    return starts.unionByName(carried.select("pattern", "period", *(f"before.{f}" for f in fields)))
+
+
+def _deepest(entries: DataFrame) -> int:
+    """Slashes of the deepest listed path; longer prefixes of a URL are in no list."""
+    slashes = F.length("pattern") - F.length(F.replace("pattern", F.lit("/"), F.lit("")))
+    return entries.agg(F.coalesce(F.max(slashes), F.lit(0)).alias("n")).first()["n"]
+
+
 def judge(
     captures: DataFrame, entries: DataFrame, url_col: str = "url", fetched_col: str = "fetched_at"
 ) -> DataFrame:
@@ -99,19 +130,9 @@ def judge(
         "row",
         fetched.alias("fetched"),
         F.floor(fetched / PERIOD).alias("period"),
-        F.explode(patterns_of(url)).alias("pattern"),
-    )
-    # No capture is later than this, so open intervals end there.
-    last = asked.agg(F.max("period").alias("last"))
-    cut = intervals(entries).join(F.broadcast(last), F.floor(F.col("listed_at") / PERIOD) <= F.col("last"))
-    to = F.least(F.floor((F.col("until") - 1) / PERIOD), F.col("last"))
-    cut = cut.select(
-        "pattern",
-        "category",
-        "listed_at",
-        "until",
-        F.explode(F.sequence(F.floor(F.col("listed_at") / PERIOD), F.coalesce(to, "last"))).alias("period"),
+        F.explode(patterns_of(url, _deepest(entries))).alias("pattern"),
     )
+    cut = keep(_by_period(intervals(entries), asked.select("pattern", "period").distinct()), "url_cut")
     active = asked.join(cut.hint("merge"), ["pattern", "period"]).filter(
         (F.col("listed_at") <= F.col("fetched"))
         & (F.col("until").isNull() | (F.col("until") > F.col("fetched")))

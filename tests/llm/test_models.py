@@ -278,6 +278,50 @@ def test_captures_are_judged_as_of_their_time(spark):
     assert not any(r["blocked"] for r in url_filters.judge(captures, entries.limit(0)).collect())
 
 
+def test_a_far_time_and_a_deep_path_cost_nothing(spark):
+    month, far = url_filters.PERIOD, 253_402_300_799
+    entries = spark.createDataFrame(
+        [(f"s{i}.org", "spam", i * month) for i in range(50)] + [("s1.org/a/", "remove", 5)],
+        "pattern string, category string, listed_at bigint",
+    )
+    deep = "http://s1.org/" + "a/" * 20_000
+    captures = spark.createDataFrame(
+        [(1, "http://s1.org/", far), (2, deep, far), (3, "http://s3.org/", 2 * month), (4, deep, 4)],
+        "page_id int, url string, fetched_at bigint",
+    )
+    asked = captures.select(
+        F.floor(F.col("fetched_at") / month).alias("period"),
+        F.explode(url_filters.patterns_of(F.col("url"), url_filters._deepest(entries))).alias("pattern"),
+    )
+    assert asked.count() < 20
+    cut = url_filters._by_period(url_filters.intervals(entries), asked.select("pattern", "period").distinct())
+    assert cut.count() <= 51 + 4  # each entry once, and where it is asked for later
+    found = sorted((r["page_id"], r["blocked"], r["pattern"]) for r in url_filters.judge(captures, entries).collect())
+    assert found == [(1, True, "s1.org"), (2, False, "s1.org/a/"), (3, False, None), (4, False, None)]
+
+
+def test_judged_as_by_looking_at_every_entry(spark):
+    rnd = np.random.default_rng(8)
+    month = url_filters.PERIOD
+    listed = [("a.org", "b.org", "x.a.org", "a.org/p/")[i % 4] for i in range(60)]
+    entries = [(p, ["spam", "remove", "adult"][i % 3], int(rnd.integers(0, 12 * month))) for i, p in enumerate(listed)]
+    urls = ["http://a.org/", "http://x.a.org/p/q", "http://a.org/p/q", "http://c.org/"]
+    captures = [(i, urls[i % 4], int(rnd.integers(0, 40 * month))) for i in range(200)]
+    frame = spark.createDataFrame(entries, "pattern string, category string, listed_at bigint")
+    asked = spark.createDataFrame(captures, "page_id int, url string, fetched_at bigint")
+    matches = {
+        urls[0]: ["a.org"], urls[1]: ["x.a.org", "a.org"], urls[2]: ["a.org/p/", "a.org"], urls[3]: [],
+    }
+    for r in url_filters.judge(asked, frame).collect():
+        active = [
+            max((e for e in entries if e[0] == p and e[2] <= r["fetched_at"]), key=lambda e: e[2], default=None)
+            for p in matches[r["url"]]
+        ]
+        best = max((e for e in active if e), key=lambda e: (len(e[0]), e[0]), default=None)
+        assert (r["pattern"], r["category"], r["listed_at"]) == (best or (None, None, None))
+        assert r["blocked"] == bool(best and best[1] != "remove")
+
+
 # ---- top-k -----------------------------------------------------------------------------------
 
 
