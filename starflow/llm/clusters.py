@@ -153,7 +153,7 @@ def _spanning(links: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
 
 
 # Words of 64 bits in the sketch of a set.
-_WORDS = 8
+_WORDS = 16
 
 
 def _sketch(items):
@@ -174,19 +174,42 @@ def _bit(place):
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
 
 
-def links_by_arrays(rows: DataFrame, percent: int) -> DataFrame:
+def links_by_arrays(rows: DataFrame, percent: int, cut) -> DataFrame:
     """``a, b``: like ``links_by_columns``, for ids of any type and with DataFrame functions only.
 
-    Bits that only one of two sketches has are items that only one of the sets has, which rules
-    out most pairs before their sets are intersected.
+    ``rows`` has ``id, root, raw, cluster, blocks, block``; ``cut`` gives the items of a ``raw``, which
+    are several times larger and made only where they are compared. Bits that only one of two
+    sketches has are items that only one of the sets has, which rules out most pairs before their
+    sets are intersected.
     """
-    fields = ["id", "root", "items", F.size("items").alias("n"), *_sketch(F.col("items"))]
-    held = F.collect_list(F.struct(*fields))
-    packed = rows.groupBy("cluster", "blocks", "block").agg(held.alias("held"))
+    held = F.collect_list(F.struct("id", "root", "raw")).alias("held")
+    packed = keep(rows.groupBy("cluster", "blocks", "block").agg(held), "cluster_packed")
+
+    def sets(name: str):
+        cut_up = F.transform(
+            name, lambda x: F.struct(x["id"].alias("id"), x["root"].alias("root"), cut(x["raw"]).alias("items"))
+        )
+        return F.transform(
+            cut_up, lambda x: F.struct(
+                x["id"].alias("id"), x["root"].alias("root"), x["items"].alias("items"),
+                F.size(x["items"]).alias("n"), *_sketch(x["items"]),
+            )
+        )
+
+    # Nearly all clusters are one block, which meets itself alone.
+    alone = packed.filter("blocks = 1").select(
+        F.lit(True).alias("same"), F.inline(F.array(F.struct(sets("held").alias("left"))))
+    )
+    alone = alone.select("same", "left", F.col("left").alias("right"))
+    several = packed.filter("blocks > 1")
     others = F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("with_block")
-    left = packed.select("cluster", "block", F.col("held").alias("left"), others)
-    right = packed.select("cluster", F.col("block").alias("with_block"), F.col("held").alias("right"))
-    joined = left.join(right.hint("merge"), ["cluster", "with_block"])
+    one = several.select("cluster", "block", F.col("held").alias("held_left"), others)
+    other = several.select("cluster", F.col("block").alias("with_block"), F.col("held").alias("held_right"))
+    met = one.join(other.hint("merge"), ["cluster", "with_block"]).select(
+        (F.col("block") == F.col("with_block")).alias("same"),
+        # A generated row is computed once, however often the comparison reads it.
+        F.inline(F.array(F.struct(sets("held_left").alias("left"), sets("held_right").alias("right")))),
+    )
 
     def similar(x, y):
         small, large = F.least(x["n"], y["n"]), F.greatest(x["n"], y["n"])
@@ -195,7 +218,7 @@ def links_by_arrays(rows: DataFrame, percent: int) -> DataFrame:
         both = F.size(F.array_intersect(x["items"], y["items"]))
         return (
             (x["root"] != y["root"])
-            & ((F.col("block") != F.col("with_block")) | (x["id"] > y["id"]))
+            & (~F.col("same") | (x["id"] > y["id"]))
             & (100 * small >= percent * large)
             & (100 * most >= percent * (x["n"] + y["n"] - most))
             & (100 * both >= percent * (x["n"] + y["n"] - both))
@@ -206,6 +229,6 @@ def links_by_arrays(rows: DataFrame, percent: int) -> DataFrame:
         return F.transform(close, lambda y: F.struct(x["id"].alias("x"), y["id"].alias("y")))
 
     found = F.explode(F.flatten(F.transform("left", partners))).alias("link")
-    return joined.select(found).select(
+    return alone.unionByName(met).select(found).select(
         F.greatest("link.x", "link.y").alias("a"), F.least("link.x", "link.y").alias("b")
     )

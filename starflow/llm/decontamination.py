@@ -247,7 +247,11 @@ def contaminated(share: int = SHARE) -> Column:
 def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", share: int = SHARE, **scanned
 ) -> DataFrame:
-    """``docs`` without the contaminated rows; all other rows and columns are as they were."""
+    """``docs`` without the contaminated rows; all other rows and columns are as they were.
+
+    NULL and empty texts have no words and stay, and so do all rows if the benchmark is empty. Rows
+    with NULL or repeated ids are judged each by its own text. An empty table gives no rows.
+    """
     columns = docs.columns
     found = _scan(docs, benchmark, columns, text_col, **scanned).filter(~contaminated(share))
     return found.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)])
@@ -256,7 +260,11 @@ def drop_contaminated(
 def remove_spans(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **scanned
 ) -> DataFrame:
-    """``docs`` with the hit words cut out of the texts; no row is dropped."""
+    """``docs`` with the hit words cut out of the texts; no row is dropped.
+
+    NULL stays NULL, and a text without a hit is as it was. A text of hits alone becomes empty. NULL
+    and repeated ids and all other columns are passed on; an empty table gives no rows.
+    """
     columns = docs.columns
     text_at = columns.index(text_col)
     inner = _scan(docs, benchmark, columns, text_col, **scanned)

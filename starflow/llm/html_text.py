@@ -57,12 +57,13 @@ ENDED = {
 
 # Words of a class or an id, and roles, that say that an element is not of the main text.
 NAMED = frozenset(
-    "ad ads adbox adslot advert adverts advertisement advertising banner breadcrumb breadcrumbs "
-    "colophon comment comments consent cookie cookies disqus footer gdpr header login masthead "
-    "menu menus modal nav navbar navigation newsletter notice notices notification notifications "
-    "overlay pager pagination paywall popup promo promos promotion related recommended "
-    "recommendations replies respond search share sharing sidebar sidebars signin signup skip "
-    "social sponsor sponsored sponsors subscribe subscription toolbar topbar widget widgets".split()
+    "ad ads adbox adslot advert adverts advertise advertisement advertising alert alerts aside banner "
+    "breadcrumb breadcrumbs colophon comment comments consent cookie cookies copyright disclaimer "
+    "disqus footer gdpr header login masthead menu menus modal nav navbar navigation newsletter notice "
+    "notices notification notifications overlay pager pagination paywall popup promo promos promotion "
+    "related recommended recommendations replies respond search share sharing sidebar sidebars sidenav "
+    "signin signup skip social sponsor sponsored sponsors subnav subscribe subscription toolbar topbar "
+    "topnav widget widgets".split()
 )
 NOT_NAMED = frozenset(("has", "with", "without", "no", "is", "js"))
 ROLES = frozenset(

@@ -233,7 +233,8 @@ def identify(
 
     ``score`` is the share of the language in the likelihoods. NULL texts, texts without a letter,
     and all texts if nothing was learned, are ``und`` with 0. Equal languages give the first in
-    order. NULL and repeated ids are passed on; other columns are not read.
+    order. NULL and repeated ids are passed on, each row with its own result; an empty table gives
+    no rows. Texts of any length are read whole. Other columns are not read, whatever their names.
     """
     spark = docs.sparkSession
     in_batches(spark)

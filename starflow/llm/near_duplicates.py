@@ -206,7 +206,8 @@ def near_duplicates(
     NULL and empty texts have an empty set and are linked with nothing. Rows with a NULL id take no
     part: their component is NULL and they are kept. Rows that share an id must hold the same text
     to be one document; if they do not, their links are joined. Ids must be integers. An empty
-    table gives no rows. Other columns are not read.
+    table gives no rows. Texts of any length are compared whole; one set must fit into a worker's
+    memory, eight bytes for each distinct shingle. Other columns are not read, whatever their names.
     """
     signed = keep(signatures(docs, id_col, text_col, size, k), "near_signatures")
     # Equal sets are one document from here on.

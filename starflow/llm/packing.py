@@ -165,5 +165,7 @@ def decompose(
 
 
 def write_buckets(pieces: DataFrame, path: str) -> None:
-    """The sequences as Parquet, one folder per length, for batches of equal sequences."""
+    """The sequences as Parquet, one folder per length, for batches of equal sequences.
+
+    An empty table makes an empty folder. The folder must not be there before."""
     pieces.write.partitionBy("bucket").parquet(path)

@@ -182,7 +182,8 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """``id_col`` and the text with each span replaced by its kind in angle brackets.
 
     Where spans overlap, the one that begins first is replaced, the longer of two that begin
-    together. NULL stays NULL.
+    together. NULL stays NULL and the empty text stays empty. NULL and repeated ids are passed on; an
+    empty table gives no rows. Other columns are not read.
     """
     in_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

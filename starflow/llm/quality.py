@@ -1,15 +1,17 @@
 """Quality by hierarchical empirical Bayes.
 
-A logistic model gives each document evidence from its text. Hosts and paths below them get
-posteriors by grouped aggregation over all documents: labels where there are any, the evidence
-where there are none. A sparse path is shrunk towards its host and a sparse host towards the
-global prior, as far as the spread between sites says. The evidence and the site's posterior are
-combined as odds.
+A logistic model gives each document evidence from its text: what it looks like, and the words in
+it, hashed. Hosts and paths below them get posteriors by grouped aggregation over all documents:
+labels where there are any, the evidence where there are none. A sparse path is shrunk towards its
+host and a sparse host towards the global prior, as far as the spread between sites says. The
+evidence and the posterior of the site without the document itself are combined as odds, so that
+what a document says about itself counts once.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -37,9 +39,12 @@ STRONGEST = 1e6
 _SYMBOLS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _ODD = b"#$%&*|!~^=<>{}[]\\_@"
 
+# Words are counted in so many places, by their hash.
+HASHED = 64
+
 
 def features(text: str) -> list[float]:
-    """What the text looks like, whatever its language."""
+    """What the text looks like, whatever its language, and the shares of its words by their hash."""
     data = text.encode("utf-8", "surrogatepass")
     n = max(1, len(data))
     words = data.split()
@@ -52,6 +57,9 @@ def features(text: str) -> list[float]:
     odd = n - len(data.translate(None, _ODD))
     same = sum(map(bytes.__eq__, words, words[1:]))
     lines = data.count(b"\n") + 1
+    hashed = [0] * HASHED
+    for word, count in counts.items():
+        hashed[zlib.crc32(word.lower()) % HASHED] += count
     return [
         math.log1p(len(words)),
         math.log(n / w),
@@ -65,6 +73,7 @@ def features(text: str) -> list[float]:
         math.log1p(100 * data.count(b"|") / w),
         math.log1p(100 * lines / w),
         1.0 if not words else 0.0,
+        *(math.sqrt(count / w) for count in hashed),
     ]
 
 
@@ -106,32 +115,46 @@ def _logit(p: Column) -> Column:
     return F.log(p / (1 - p))
 
 
-def posteriors(documents: DataFrame, host: str, path: str) -> tuple[DataFrame, float]:
-    """``host, path, site`` for each path, and the global prior, from ``y``: a label or a chance.
+def site_sums(documents: DataFrame, host: str, path: str) -> tuple[DataFrame, float, float, float]:
+    """``host, path, good, n, host_good, host_n`` for each path, the global prior, and the strengths
+    of the prior at hosts and of hosts at paths, from ``y``: a label or a chance.
 
-    ``site`` is ``(sum + strength * parent) / (n + strength)``, at the host with the prior as its
-    parent, at the path with the host. The strength of a level is the prior's equivalent number of
-    documents, by moments of the site rates. Documents are summed by path before anything is
-    shuffled, so hot sites do not matter.
+    The strength of a level is the prior's equivalent number of documents, by moments of the site
+    rates. Documents are summed by path before anything is shuffled, so hot sites do not matter.
     """
     paths = documents.groupBy(host, path).agg(F.sum("y").alias("good"), F.count(F.lit(1)).alias("n"))
     paths = keep(paths, "quality_paths")
     hosts = paths.groupBy(host).agg(F.sum("good").alias("host_good"), F.sum("n").alias("host_n"))
     hosts = keep(hosts, "quality_hosts")
     total = hosts.agg(F.sum("host_good").alias("good"), F.sum("host_n").alias("n")).first()
+    same = F.col(host).eqNullSafe(F.col("__host"))
+    paths = paths.join(hosts.withColumnRenamed(host, "__host"), same).drop("__host")
     if not total["n"]:
-        return paths.select(host, path, F.lit(0.5).alias("site")), 0.5
+        return paths, 0.5, 1.0, 1.0
     prior = (total["good"] + 0.5) / (total["n"] + 1)
-    strength = _strength(hosts, "host_good", "host_n", F.lit(prior), prior)
-    hosts = hosts.select(
-        F.col(host).alias("__host"),
-        ((F.col("host_good") + strength * prior) / (F.col("host_n") + strength)).alias("host_rate"),
-    )
-    same = F.col(host).eqNullSafe(F.col("__host"))
-    paths = keep(paths.join(hosts, same).drop("__host"), "quality_sites")
-    strength = _strength(paths, "good", "n", F.col("host_rate"), prior)
-    site = (F.col("good") + strength * F.col("host_rate")) / (F.col("n") + strength)
-    return paths.select(host, path, site.alias("site")), prior
+    above = _strength(hosts, "host_good", "host_n", F.lit(prior), prior)
+    paths = keep(paths, "quality_sites")
+    rate = _rate("host_good", "host_n", above, F.lit(prior))
+    return paths, prior, above, _strength(paths, "good", "n", rate, prior)
+
+
+def _rate(good: str, n: str, strength: float, parent: Column, without: Column | None = None) -> Column:
+    """``(good + strength * parent) / (n + strength)``; ``without`` is the share of one document that
+    is left out."""
+    if without is None:
+        return (F.col(good) + strength * parent) / (F.col(n) + strength)
+    return (F.greatest(F.col(good) - without, F.lit(0.0)) + strength * parent) / (F.col(n) - 1 + strength)
+
+
+def posteriors(documents: DataFrame, host: str, path: str) -> tuple[DataFrame, float]:
+    """``host, path, site`` for each path, and the global prior.
+
+    ``site`` is ``(sum + strength * parent) / (n + strength)``, at the host with the prior as its
+    parent, at the path with the host.
+    """
+    paths, prior, above, below = site_sums(documents, host, path)
+    parent = _rate("host_good", "host_n", above, F.lit(prior))
+    return paths.select(host, path, _rate("good", "n", below, parent).alias("site")), prior
 
 
 def _strength(sites: DataFrame, good: str, n: str, parent: Column, prior: float) -> float:
@@ -163,25 +186,26 @@ def score_quality(
 ) -> DataFrame:
     """``id_col, evidence, site, score``, one row per input row.
 
-    ``evidence`` is the chance of good quality by the text alone, ``site`` that of the path, and
-    ``score`` both together. ``host`` and ``path`` are expressions over ``docs``; NULL is a site of
+    ``evidence`` is the chance of good quality by the text alone, ``site`` that of the other documents
+    of the path, and ``score`` both together. ``host`` and ``path`` are expressions over ``docs``; NULL is a site of
     its own. Labels are 0 or 1; NULL labels and ids teach nothing. NULL texts are empty texts.
     Without labels of both kinds the evidence is the rate of the labels there are, or a half. The
     classifier is fitted on at most ``fitted`` labelled rows, the site posteriors cover all rows. If
     an id is repeated or has several labels, the rows count each time, with the mean label. An empty
-    table gives no rows.
+    table gives no rows. Texts of any length are read whole. Other columns are not read, but by
+    ``host`` and ``path``.
     """
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.avg(label_col).alias("label"))
     described = _scored(docs, known, host, path, id_col, text_col, fitted)
     scored = described.withColumn("y", F.coalesce("label", "evidence"))
-    sites, prior = posteriors(scored, "host", "path")
-    sites = keep(sites, "quality_posteriors").select(
-        F.col("host").alias("site_host"), F.col("path").alias("site_path"), "site"
-    )
+    sites, prior, above, below = site_sums(scored, "host", "path")
+    sums = ("good", "n", "host_good", "host_n")
     key = lambda h, p: F.concat_ws("\u0001", F.coalesce(h, F.lit("\0")), F.coalesce(p, F.lit("\0")))
-    sites = sites.select(key(F.col("site_host"), F.col("site_path")).alias("key"), "site")
+    sites = keep(sites.select(key(F.col("host"), F.col("path")).alias("key"), *sums), "quality_posteriors")
     found = by_size(scored.withColumn("key", key(F.col("host"), F.col("path"))), sites, ["key"], "left")
+    parent = _rate("host_good", "host_n", above, F.lit(prior), F.col("y"))
+    found = found.withColumn("site", _rate("good", "n", below, parent, F.col("y")))
     odds = _logit(F.col("evidence")) + _logit(F.col("site")) - _logit(F.lit(prior))
     return found.select(
         F.col("id").alias(id_col), "evidence", "site", (1 / (1 + F.exp(-odds))).alias("score")

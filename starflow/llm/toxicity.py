@@ -422,8 +422,9 @@ def score_toxicity(
 
     A fifth of these, by ``crc32`` of the id, calibrates and is not in the models. Labels are 0 or
     1; NULL labels and ids teach nothing. Texts without words, and all texts if a class has no
-    example, have the base rate (a half without any label). Repeated rows count each time; other
-    columns are not read.
+    example, have the base rate (a half without any label). Repeated rows count each time; an empty
+    table gives no rows. Texts of any length are read whole, each expression once. Other columns are
+    not read, whatever their names.
     """
     in_batches(docs.sparkSession)
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())

@@ -116,8 +116,10 @@ def judge(
     ``fetched_col`` is in seconds. Among the entries active at that time the longest pattern decides
     (of equal length the last in order), and blocks unless its category is ``remove``; without one
     the capture is not blocked and ``pattern, category, listed_at`` are NULL. A NULL URL or time
-    matches nothing; a URL without a host has an empty host. Repeated rows are judged alike. Columns
-    of those names are replaced.
+    matches nothing; a URL without a host has an empty host. Repeated rows are judged alike. Without
+    captures there are no rows, without entries nothing is blocked. Columns of those names are
+    replaced. URLs of any length are read whole, but of their leading parts only those that are not
+    deeper than the deepest listed one are looked up.
     """
     added = ("host", "blocked", "pattern", "category", "listed_at")
     names = [c for c in captures.columns if c not in added]

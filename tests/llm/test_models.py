@@ -57,6 +57,19 @@ def test_language_of_odd_texts(spark):
     assert language_id.identify(asked.limit(0), learned).count() == 0
 
 
+def test_language_beside_columns_of_any_name(spark):
+    taught = spark.createDataFrame(
+        [("the cat", "en", "x", 1), ("le chat", "fr", "y", 2)], "text string, lang string, id string, score int"
+    )
+    asked = spark.createDataFrame(
+        [(1, "le le", "zz", 0.5, "a"), (1, "le le", "zz", 0.5, "a"), (2, "the", "zz", None, "b")],
+        "doc_id int, text string, lang_pred string, score double, id string",
+    )
+    found = language_id.identify(asked, language_id.fit(taught.withColumn("doc_id", F.lit(1))))
+    assert found.columns == ["doc_id", "lang_pred", "score"]
+    assert sorted(r[:2] for r in rows(found)) == [(1, "fr"), (1, "fr"), (2, "en")]
+
+
 def test_known_words_come_first_and_then_the_longest_grams():
     logs = np.log([[0.9, 0.1], [0.1, 0.9]])
     parts = (["a", "b"], ["word"], logs[:1], ["^wo", "d"], logs[::-1])
@@ -222,9 +235,60 @@ def test_posteriors_shrink_sparse_sites(spark):
     assert nothing.count() == 0 and prior == 0.5
 
 
+def test_scores_leave_the_document_out_of_its_site(spark):
+    """The whole of the combination, against a plain version from the evidence on."""
+    rnd = random.Random(6)
+    docs = [
+        (i, " ".join(rnd.choice(["good", "words", "here", "%%%", "###"][: 3 + i % 3]) for _ in range(20)),
+         rnd.choice(["h1", "h1", "h2", None]), rnd.choice("pqr"))
+        for i in range(150)
+    ] + [(900, "alone", "h9", "p")]
+    labels = {i: int(i % 3 == 0) for i in range(0, 150, 2)}
+    frame = spark.createDataFrame(docs, "doc_id int, text string, h string, p string")
+    taught = spark.createDataFrame(list(labels.items()), "doc_id int, quality int")
+    where = F.col("h"), F.concat_ws("/", "h", "p")
+    got = {r["doc_id"]: r for r in quality.score_quality(frame, taught, *where).collect()}
+    y = {i: labels.get(i, got[i]["evidence"]) for i, *_ in docs}
+    path = {i: "/".join(x for x in (h, p) if x) for i, _, h, p in docs}
+    host = {i: h for i, _, h, _ in docs}
+    prior = (sum(y.values()) + 0.5) / (len(y) + 1)
+
+    def sums(of, without=None):
+        found = {}
+        for i in y:
+            if i != without:
+                found.setdefault(of(i), []).append(y[i])
+        return found
+
+    def strength(groups, parent):
+        n = [len(g) for g in groups.values()]
+        spread = sum(len(g) * (sum(g) / len(g) - parent(k)) ** 2 for k, g in groups.items())
+        chance = prior * (1 - prior)
+        rest = sum(n) - sum(x * x for x in n) / sum(n)
+        between = (spread - (len(n) - 1) * chance) / rest if rest > 0 else 0
+        return quality.STRONGEST if between <= chance / quality.STRONGEST else max(1.0, chance / between - 1)
+
+    hosts = sums(host.get)
+    above = strength(hosts, lambda _: prior)
+    rate = {k: (sum(g) + above * prior) / (len(g) + above) for k, g in hosts.items()}
+    keys = {(host[i], path[i]) for i in y}
+    below = strength(sums(lambda i: (host[i], path[i])), lambda k: rate[k[0]])
+    assert len(keys) > 8
+    for i, row in got.items():
+        others = sums(lambda j: (host[j], path[j]), i).get((host[i], path[i]), [])
+        at_host = sums(host.get, i).get(host[i], [])
+        parent = (sum(at_host) + above * prior) / (len(at_host) + above)
+        site = (sum(others) + below * parent) / (len(others) + below)
+        assert row["site"] == pytest.approx(site, abs=1e-9)
+        logit = lambda v: math.log(v / (1 - v))
+        odds = logit(min(max(row["evidence"], 1e-6), 1 - 1e-6)) + logit(site) - logit(prior)
+        assert row["score"] == pytest.approx(1 / (1 + math.exp(-odds)), abs=1e-9)
+    assert got[900]["site"] == pytest.approx(prior)
+
+
 def test_quality_of_odd_tables(spark):
     docs = [(i, "some words of text " + "x" * (i % 7), "s", "p") for i in range(40)]
-    docs += [(50 + i, "### $$$ %%% " * 5, None, "p") for i in range(40)] + [(None, None, None, None), (99, "", "t", None)]
+    docs += [(50 + i, "### $$$ %%% " * (5 if i else 100_000), None, "p") for i in range(40)] + [(None, None, None, None), (99, "", "t", None)]
     frame = spark.createDataFrame(docs, "doc_id bigint, text string, label string, x string")
     labels = spark.createDataFrame(
         [(i, 1) for i in range(30)] + [(50 + i, 0) for i in range(30)] + [(None, 1), (3, None)],

@@ -76,6 +76,18 @@ def test_word_ids_equal_the_tokenizer(texts):
         assert np.frombuffer(encoder.of(text), "<u4").tolist() == token_ids(encoder.tokenizer, text)[:-1]
 
 
+def test_sequences_are_stored_by_their_length(spark, odd_docs, tmp_path):
+    pieces = packing.decompose(odd_docs, TOKENIZER)
+    packing.write_buckets(pieces, f"{tmp_path}/out")
+    stored = spark.read.parquet(f"{tmp_path}/out")
+    assert sorted(map(str, stored.select("sequence_id", "length").collect())) == sorted(
+        map(str, pieces.select("sequence_id", "length").collect())
+    )
+    folders = {int(f.name.split("=")[1]) for f in (tmp_path / "out").glob("bucket=*")}
+    assert folders == {r["length"] for r in pieces.collect()}
+    packing.write_buckets(pieces.limit(0), f"{tmp_path}/none")
+
+
 def test_pieces_sum_up():
     for n in (1, 2, 3, 2047, 2048, 2049, 10000):
         assert sum(packing.pieces_of(n, 2048)) == n
