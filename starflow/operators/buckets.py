@@ -7,7 +7,7 @@ it is read: by bucket, by the range of the keys, and, if the batch is small, by
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -142,18 +142,25 @@ def update_history(
     surrogate: str,
     last: int | None = None,
     buckets: int = BUCKETS,
+    ahead: Callable[[DataFrame, int], None] | None = None,
 ) -> tuple[list[int], DataFrame]:
     """``merge_history`` in place: rewrite only the buckets in which a key is new or has changed.
 
     Returns the numbers of these buckets and the versions that were closed (``surrogate, key``).
     ``incoming`` is stored and has one row per key; ``last`` is the greatest surrogate key so far,
     else it is looked up. A repetition finds nothing changed and rewrites nothing.
+
+    ``ahead`` is called with the versions that will be closed and the number of new ones before
+    anything is written. What it notes down is there even if the load fails afterwards; a repetition
+    does not see the same changes again.
     """
     spark = incoming.sparkSession
     names = schema.fieldNames()
     stored = open_buckets(spark, path, schema)
     if stored is None:
         first = stage(merge_history(None, incoming, key, tracked, as_of, surrogate), "history_first")
+        if ahead:
+            ahead(first.select(surrogate, key).limit(0), first.count())
         append_buckets(first, path, key, buckets)
         return _buckets_of(first, key, buckets), first.select(surrogate, key).limit(0)
     current = buckets_met(incoming, stored, key, buckets).filter("is_current")
@@ -169,6 +176,8 @@ def update_history(
     touched = _buckets_of(changed, key, buckets)
     closed = changed.filter(F.col(surrogate).isNotNull())
     if touched:
+        if ahead:
+            ahead(closed, changed.count())
         some = stored.filter(F.col(BUCKET).isin(touched)).select(*names)
         arrived = incoming.join(changed.select(key), key, "left_semi")
         start = F.lit(last) if last is not None else stored.agg(F.max(surrogate)).scalar()

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starflow.operators.buckets import (
-    BUCKET,
     fold_latest,
     open_buckets,
     replace_partitions,
@@ -35,6 +34,7 @@ from starflow.sources.tables import (
 
 DAY = "admission_date"
 KEYS = "name string, last bigint"
+CLOSED = "patient_sk bigint, patient_id string"
 ORDER = ("event_timestamp", "event_id")
 DEPARTMENT = ("department", "hospital_id")
 
@@ -74,8 +74,9 @@ class Live:
             append_table(self.spark.range(1).selectExpr(f"'{name}' name", f"{last}L last"), self.path("keys"))
 
     def put(self, table: str, df: DataFrame, number: int) -> None:
-        """A small table is written whole, under the number of the load."""
-        write_table(df, f"{self.path(table)}/load={number:08d}")
+        """A small table is written whole, under the number of the load. A load that is repeated reads
+        what it has written before and replaces it, so it is stored first."""
+        write_table(stage(df, table), f"{self.path(table)}/load={number:08d}")
 
     def _newest(self, table: str, schema) -> DataFrame | None:
         found = open_if_there(self.spark, self.path(table), schema)
@@ -114,13 +115,20 @@ def _load(live: Live, rows: DataFrame, number: int, as_of: a.AsOf) -> None:
     known = rows.filter(F.col("patient_id").isNotNull())
     latest = fold_latest(known, live.path("latest_patient"), "patient_id", ORDER, a.TRACKED)
     latest = stage(latest.select("patient_id", *a.TRACKED), "increment_patients")
-    path = live.path("dim_patient")
-    touched, closed = update_history(
-        latest, path, a.DIM_PATIENT, "patient_id", a.TRACKED, as_of, "patient_sk",
-        live.last_key("patient_sk"),
+    # Noted before the history is rewritten, as a repeated load does not find these changes again.
+    journal, last = f"{live.path('closed')}/load={number:08d}", live.last_key("patient_sk")
+
+    def ahead(closed: DataFrame, added: int) -> None:
+        append_table(closed, journal)
+        live.give_out("patient_sk", last + added)
+
+    update_history(
+        latest, live.path("dim_patient"), a.DIM_PATIENT, "patient_id", a.TRACKED, as_of, "patient_sk",
+        last, ahead=ahead,
     )
-    now = open_buckets(live.spark, path, a.DIM_PATIENT).filter(F.col(BUCKET).isin(touched))
-    live.give_out("patient_sk", now.agg(F.max("patient_sk")).first()[0])
+    closed = open_if_there(live.spark, journal, CLOSED)
+    if closed is None:
+        closed = live.spark.createDataFrame([], CLOSED)
     _fact(live, rows, closed, as_of)
 
 

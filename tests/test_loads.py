@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from starflow.operators import buckets as b
 from starflow.operators.history import merge_history
 from starflow.plans import admissions as a
+from starflow.plans import incremental
 from starflow.plans.incremental import load_increment
 from starflow.plans.medallion import Store, load_silver
 from starflow.session import new_folder
@@ -175,6 +176,32 @@ def test_facts_follow_the_version_that_is_current(spark):
     assert [str(r[0]) for r in live.dates().agg(F.max("date_key")).collect()] == ["2024-01-15"]
 
 
+@pytest.mark.parametrize("broken", ["_dates", "update_history", "_fact", "replace_partitions"])
+def test_a_load_that_failed_is_repeated(spark, monkeypatch, broken):
+    store = Store(new_folder(spark, "live"))
+    put(spark, store, event(1, 10), event(2, 11, patient_id="Q"))
+    live = load_increment(spark, store, NOW)
+    put(spark, store, event(3, 10, insurance_type="Other", department="Surgery"), event(4, 12, patient_id="R"))
+    real = getattr(incremental, broken)
+
+    def step_and_die(*args, **options):
+        real(*args, **options)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(incremental, broken, step_and_die)
+    with pytest.raises(Exception, match="lost"):
+        load_increment(spark, store, LATER)
+    monkeypatch.setattr(incremental, broken, real)
+    load_increment(spark, store, LATER)
+    facts = {r["event_id"]: r for r in live.fact().collect()}
+    assert live.fact().count() == 4 and set(facts) == {"X1", "X2", "X3", "X4"}
+    assert len({r["fact_id"] for r in facts.values()}) == 4
+    current = {r["patient_id"]: r["patient_sk"] for r in live.patients().filter("is_current").collect()}
+    assert facts["X1"]["patient_sk"] == facts["X3"]["patient_sk"] == current["P1"]
+    assert live.patients().count() == 4 and live.departments().count() == 2
+    assert live.patients().select("patient_sk").distinct().count() == 4
+
+
 def test_a_late_older_event_changes_no_version(spark):
     store = Store(new_folder(spark, "live"))
     put(spark, store, event(1, 12, insurance_type="New"))
