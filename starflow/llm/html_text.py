@@ -9,6 +9,7 @@ as no content (navigation, forms, scripts and so on) goes while the page is read
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html import unescape
 
@@ -65,6 +66,11 @@ NAMED = frozenset(
     "signin signup skip social sponsor sponsored sponsors subnav subscribe subscription toolbar topbar "
     "topnav widget widgets".split()
 )
+# Names that pages without the elements for it give to their main part.
+BODIES = frozenset(
+    "article article-body article-content articlebody body-text content entry-content main main-content "
+    "post-body post-content story story-body".split()
+)
 NOT_NAMED = frozenset(("has", "with", "without", "no", "is", "js"))
 ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation "
@@ -91,29 +97,36 @@ _FOUND = (
 )
 
 
-def named_away(attributes: str) -> set[str]:
-    """What a class, an id or a role says against the element; empty if nothing."""
-    found: set[str] = set()
+def named(attributes: str) -> tuple[set[str], bool]:
+    """What a class, an id or a role says against the element, and whether one says that it is the
+    main part."""
+    against: set[str] = set()
+    body = False
     for name, *values in _ATTRIBUTE.findall(attributes):
-        value = unescape("".join(values))
+        words = unescape("".join(values)).split()
         if name.lower() == "role":
-            found |= ROLES.intersection(value.lower().split())
+            against |= ROLES.intersection(w.lower() for w in words)
+            body = body or words == ["main"]
             continue
-        for word in value.split():
+        for word in words:
             parts = _NAME.findall(_HUMP.sub("-", word).lower())
             if parts and parts[0] not in NOT_NAMED:
-                found |= NAMED.intersection(parts)
-    return found
+                against |= NAMED.intersection(parts)
+            body = body or "-".join(parts) in BODIES
+    return against, body and not against
 
 
 class Page:
     """The block elements of a page, in page order, and the runs of text in them."""
 
     def __init__(self, html: str):
-        # Of each element: the one it is in, its tag, what speaks against it, its hash.
-        self.parent, self.tag, self.against, self.hash = [0], ["html"], [set()], [0]
+        # Of each element: the one it is in, its tag, what speaks against it, the kind of main part
+        # that it is, its hash.
+        self.parent, self.tag, self.against, self.kind, self.hash = [0], ["html"], [set()], [""], [0]
         self.runs: list[tuple[int, str]] = []
         self._open: list[tuple[str, int]] = [("html", 0)]  # element 0 within a line: it is muted
+        self._at: dict[str, list[int]] = {}  # where each tag is open
+        self._blocks = [0]  # where a block is
         self._holds: list[list] = [[]]  # texts and hashes in each open block
         self._muted, self._text = 0, []
         at = 0
@@ -140,7 +153,7 @@ class Page:
 
     def _block(self) -> int:
         """The innermost open block."""
-        return next((e for _, e in reversed(self._open) if e), 0)
+        return self._open[self._blocks[-1]][1]
 
     def _flush(self) -> None:
         text = " ".join(unescape("".join(self._text)).split())
@@ -151,44 +164,38 @@ class Page:
 
     def _close(self) -> None:
         tag, element = self._open[-1]
+        self._at[tag].pop()
         if not element:
             self._open.pop()
             self._muted -= 1
             return
         self._flush()
         self._open.pop()
+        self._blocks.pop()
         # Texts come with their length, so that they and the hashes cannot be mixed up.
         held = (f"#{x};" if isinstance(x, int) else f"{len(x)}:{x}" for x in self._holds.pop())
         written = (tag + "|" + "".join(held)).encode("utf-8", "surrogatepass")
         self.hash[element] = xxhash.xxh3_64_intdigest(written) - 2**63
         self._holds[-1].append(self.hash[element])
 
-    def _end(self, tag: str) -> None:
-        if tag not in BLOCKS and tag not in DROPPED:
-            # An end tag within a line ends no block.
-            for i in range(len(self._open) - 1, 0, -1):
-                if self._open[i][1]:
-                    return
-                if self._open[i][0] == tag:
-                    break
-            else:
-                return
-            while len(self._open) > i:
-                self._close()
-        elif any(t == tag for t, _ in self._open[1:]):
-            while self._open[-1][0] != tag:
-                self._close()
+    def _push(self, tag: str, element: int) -> None:
+        self._at.setdefault(tag, []).append(len(self._open))
+        self._open.append((tag, element))
+
+    def _close_from(self, place: int) -> None:
+        while len(self._open) > place:
             self._close()
 
+    def _end(self, tag: str) -> None:
+        if at := self._at.get(tag):  # elements within a line are only there if they are muted
+            self._close_from(at[-1])
+
     def _end_open(self, tags: tuple[str, ...], within: tuple[str, ...]) -> None:
-        last = 0
-        for i in range(len(self._open) - 1, 0, -1):
-            if self._open[i][0] in tags:
-                last = i
-            elif self._open[i][0] in within:
-                break
-        while last and len(self._open) > last:
-            self._close()
+        floor = max((self._at[t][-1] for t in within if self._at.get(t)), default=0)
+        places = (self._at[t] for t in tags if self._at.get(t))
+        first = min((at[bisect_right(at, floor)] for at in places if at[-1] > floor), default=0)
+        if first:
+            self._close_from(first)
 
     def _start(self, tag: str, attributes: str) -> None:
         if self._open[-1][0] == "head" and tag not in IN_HEAD:
@@ -198,7 +205,7 @@ class Page:
         if tag in ENDED:
             self._end_open(*ENDED[tag])
         if tag in BLOCKS or tag in DROPPED or tag == "hr":
-            self._end_open(("p",), ("table",))
+            self._end_open(("p",), ("table", "caption", "button", "object"))
             if tag in HEADINGS and self._open[-1][0] in HEADINGS:
                 self._close()
             self._flush()
@@ -206,31 +213,33 @@ class Page:
             self._say(" ")
         if tag in VOID:
             return
-        against = named_away(attributes) if "=" in attributes and tag != "main" else set()
+        against, body = named(attributes) if "=" in attributes and tag != "main" else (set(), False)
         if tag in BLOCKS or tag in DROPPED:
             self.parent.append(self._block())
             self.tag.append(tag)
             self.against.append(against)
+            self.kind.append(tag if tag in ("article", "main") else "main" if body else "")
             self.hash.append(0)
-            self._open.append((tag, len(self.tag) - 1))
+            self._blocks.append(len(self._open))
+            self._push(tag, len(self.tag) - 1)
             self._holds.append([])
-        elif (tag in MUTED and not attributes.endswith("/")) or against:
-            self._open.append((tag, 0))
+        elif against or (tag in MUTED and attributes[-1:] != "/") or (self._muted and self._at.get(tag)):
+            self._push(tag, 0)
             self._muted += 1
 
     def main(self) -> tuple[bool, list[str], list[tuple[int, int, int]]]:
         """Whether the page names its main part; the blocks of it; the hash of each subtree in it
         with the first and the last block that it has.
 
-        The main part is the articles, else the ``main`` element, else the page. What is named
-        away goes, unless the first article or ``main`` is in it. A header in the main part gives
-        its headings.
+        The main part is the articles, else the ``main`` element or one that is named like it, else
+        the page. What is named away goes, unless the first of these is in it. A header in the main
+        part gives its headings.
         """
         n = len(self.tag)
         shelter = {0}
         gone, inside, header = [False] * n, [""] * n, [False] * n
         for kind in ("main", "article"):
-            first = next((i for i in range(n) if self.tag[i] == kind and not self.against[i]), 0)
+            first = next((i for i in range(n) if self.kind[i] == kind and not self.against[i]), 0)
             while first:
                 shelter.add(first)
                 first = self.parent[first]
@@ -243,8 +252,8 @@ class Page:
             elif (tag == "header" or self.against[i]) and i not in shelter:
                 header[i] = bool(inside[up])
                 gone[i] = not inside[up]
-            if tag in ("article", "main") and inside[i] != "article" and not gone[i]:
-                inside[i] = tag
+            if self.kind[i] and inside[i] != "article" and not gone[i]:
+                inside[i] = self.kind[i]
         kept = []
         for element, text in self.runs:
             heading = not header[element] or self.tag[element] in HEADINGS

@@ -7,10 +7,12 @@ made of sequences of one length (the ``bucket``).
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,12 @@ END_ID = 1
 # on it, never an id.
 REMEMBERED = 600_000
 
-# The words of the tokenizer's own splitting rule, for texts in Latin-1.
+# How a tokenizer must normalise and split for its words to be encoded one by one.
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+END_MARK = "</w>"
+
+# The words of that splitting rule, for texts in Latin-1.
 _WORD = re.compile(
     rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
     rb"|[^\sa-z0-9\x85\xa0\xaa\xb5\xb2\xb3\xb9\xba\xbc-\xbe\xdf-\xf6\xf8-\xff]+"
@@ -42,15 +49,17 @@ class WordIds:
 
     The tokenizer encodes each word (a run of letters, one digit, a run of other characters) on
     its own, in lower case. So the ids of a text are those of its words, one after the other.
-    Texts outside Latin-1 go to the tokenizer as they are.
+    Texts outside Latin-1 go to the tokenizer as they are, and so do all texts if the file says that
+    the tokenizer works in another way.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_word = _encodes_words(json.loads(Path(path).read_text("utf-8")))
         # Each word ends in one token that carries the end mark.
-        ends = [i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]
+        ends = [i for token, i in self.tokenizer.get_vocab().items() if token.endswith(END_MARK)]
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         self.ends[ends] = True
         self.known: dict[bytes, bytes] = {}
@@ -72,6 +81,8 @@ class WordIds:
                 self.known[word] = self._encode(word.decode("latin-1")).tobytes()
 
     def of(self, text: str) -> bytes:
+        if not self.by_word:
+            return self._encode(text).tobytes()
         try:
             data = unicodedata.normalize("NFC", text).encode("latin-1")
         except UnicodeEncodeError:
@@ -87,6 +98,23 @@ class WordIds:
         return b"".join(map(self.known.__getitem__, words))
 
 
+def _encodes_words(file: dict) -> bool:
+    """Whether a tokenizer file has the normaliser, the splitter and the end mark that ``WordIds``
+    goes by, and adds nothing of its own."""
+    steps = (file.get("normalizer") or {}).get("normalizers", [])
+    splits = (file.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    return (
+        [step["type"] for step in steps] == NORMALIZERS
+        and steps[1]["pattern"] == {"Regex": r"\s+"}
+        and [split["type"] for split in splits] == ["Split", "ByteLevel"]
+        and splits[0]["pattern"] == {"Regex": SPLIT}
+        and not splits[1]["add_prefix_space"]
+        and not splits[1]["use_regex"]
+        and file["model"].get("end_of_word_suffix") == END_MARK
+        and file.get("truncation") is None
+    )
+
+
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
     """One per Python worker and tokenizer file."""

@@ -231,7 +231,12 @@ PAGES = [
     ("<article><p>x <span class='ad'>no</span>y <button>no</button>z</p><div class=cookieNotice>no</div></article>", "x y z"),
     ("<div class='has-sidebar'><p>x</p><div role=navigation>no</div></div>", "x"),
     ("<p>" + "long " * 100_000, ("long " * 100_000).strip()), ("<div>" * 30_000 + "deep", "deep"),
-    ("<a" * 50_000, ""), ("<p> a \n b\t</p><p> </p>", "a b"), ("<P>Up</P><DIV>Case</DIV>", "Up\nCase"),
+    ("<a" * 50_000, ""), ("<p>x<table>" + "<div>" * 20_000 + "y", "x\ny"),
+    ("<button>" * 20_000 + "</a>" * 20_000, ""), ("<p>a<button>b<div>c</button>d</div>e", "a\nde"),
+    ("a<span class=ad>b<div><span>c</span>d</div>e</span>f", "a\nf"), ("<svg/>a<svg><g/>b</svg>c", "ac"), ("<p> a \n b\t</p><p> </p>", "a b"), ("<P>Up</P><DIV>Case</DIV>", "Up\nCase"),
+    ("<div>no</div><div class='post-content'><p>x</p><div class=share>no</div></div><p>no", "x"),
+    ("<p>no</p><div role=main>x</div><div id='content'>y</div>", "x\ny"),
+    ("<div class='content'><p>no</p><article><p>x</p></article></div>", "x"),
     ("</p></b></div>stray", "stray"), ("<article class=ad>no</article><p>x", "x"),
 ]
 

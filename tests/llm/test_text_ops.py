@@ -76,6 +76,17 @@ def test_word_ids_equal_the_tokenizer(texts):
         assert np.frombuffer(encoder.of(text), "<u4").tolist() == token_ids(encoder.tokenizer, text)[:-1]
 
 
+def test_other_tokenizers_are_not_taken_by_words():
+    import public_tokenizers
+
+    assert packing.WordIds(TOKENIZER).by_word
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    other, plain = packing.WordIds(path), Tokenizer.from_file(path)
+    assert not other.by_word
+    for text in filter(None, ODD):
+        assert other.of(text) == np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def test_sequences_are_stored_by_their_length(spark, odd_docs, tmp_path):
     pieces = packing.decompose(odd_docs, TOKENIZER)
     packing.write_buckets(pieces, f"{tmp_path}/out")
