@@ -93,13 +93,16 @@ def land_messages(
     land(landed, store.bronze, store.checkpoint("bronze"), "bronze_patient_flow").awaitTermination()
 
 
-def load_silver(spark: SparkSession, store: Store, as_of: a.AsOf) -> None:
+def load_silver(
+    spark: SparkSession, store: Store, as_of: a.AsOf, without_id: bool = False
+) -> None:
     """Append the cleaned events that silver does not have yet, and set unusable ones aside.
 
     Bronze is read as a stream with a checkpoint of its own, so each landed file is taken once,
     whatever its times say. A batch that is repeated after a failure adds nothing, as the ids in
     silver are left out; of silver only the buckets and the id range of the batch are read. What
-    has no id cannot be told apart from its copies and goes to quarantine alone.
+    has no id cannot be told apart from its copies and goes to quarantine alone; ``without_id`` has
+    silver keep the first of these as well, like of any other id.
     """
     landed = open_stream(spark, "parquet", {}, LANDED_SCHEMA, store.bronze)
 
@@ -109,7 +112,9 @@ def load_silver(spark: SparkSession, store: Store, as_of: a.AsOf) -> None:
         aside = marked.filter(F.col("reason").isNotNull())
         write_table(aside.select(*QUARANTINE), store.quarantine(number))
         # Stored first, as the files it is compared with are in the folder it is appended to.
-        usable = a.clean(batch, as_of).filter(F.col("event_id").isNotNull())
+        usable = a.clean(batch, as_of)
+        if not without_id:
+            usable = usable.filter(F.col("event_id").isNotNull())
         fresh = stage(usable, "silver_batch")
         known = open_buckets(batch.sparkSession, store.silver, a.SILVER)
         report = LoadReport(batch.sparkSession)
@@ -221,17 +226,19 @@ def run_chain(
     as_of: a.AsOf = None,
     before: str | None = None,
     ingested_at: a.AsOf = None,
+    without_id: bool = False,
 ) -> Mapping[str, DataFrame]:
     """Bronze, silver, gold, one after the other; an error ends the chain where it occurs, and a
     second call for the same run goes on there.
 
     ``ingested_at`` is only recorded (the time of landing if not given); the rules use ``as_of``.
+    ``without_id`` is that of ``load_silver``.
     """
     ledger = Ledger(spark, store)
     done = ledger.stages(run)
     for name, step in (
         ("bronze", lambda: land_messages(store, messages, lineage, ingested_at)),
-        ("silver", lambda: load_silver(spark, store, as_of)),
+        ("silver", lambda: load_silver(spark, store, as_of, without_id)),
     ):
         if name not in done:
             step()

@@ -235,7 +235,7 @@ STAR = (
   LEFT JOIN departments d ON c.department = d.department AND c.hospital_id = d.hospital_id)"""
 )
 
-# The chain sets messages without an id aside, so none of its tables has a row of them.
+# Chains that set messages without an id aside: none of their tables has a row of them.
 CHAIN = STAR.replace(first_copies(), first_copies(where="event_id IS NOT NULL"), 1)
 
 TWICE = """, twice AS (
@@ -580,7 +580,7 @@ ORACLE: dict[str, str] = {
         GROUP BY d.department""",
     ),
     "chained_load": select(
-        CHAIN,
+        STAR,
         """SELECT 'bronze' AS table_name, count(*) AS row_count FROM coordinates
         UNION ALL SELECT 'silver', count(*) FROM clean
         UNION ALL SELECT 'fact_patient_flow', count(*) FROM fact

@@ -49,6 +49,25 @@ def test_no_event_is_lost_whatever_its_landing_time(spark):
     assert {r["raw_json"] for r in aside.filter("reason = 'UNREADABLE'").collect()} == {"not json"}
 
 
+def test_the_first_message_without_an_id_can_go_through(spark):
+    store = m.Store(new_folder(spark, "chain"))
+    put(spark, store, LATE, event(1), "not json", {"event_id": None, "department": "ICU"}, {"event_id": None})
+    m.load_silver(spark, store, LATE, True)
+    put(spark, store, LATE, event(2), {"event_id": None}, "not json either")
+    m.load_silver(spark, store, LATE, True)
+    assert ids(spark, store) == ["X1", "X2", "none"]
+    aside = spark.read.parquet(f"{store.root}/quarantine/patient_flow")
+    assert sorted(r["reason"] for r in aside.collect()) == ["NO_KEY"] * 3 + ["UNREADABLE"] * 2
+    served = m.load_gold(spark, store, "1", LATE)
+    assert sorted(r["event_id"] or "none" for r in served["fact_patient_flow"].collect()) == ["X1", "X2", "none"]
+
+
+def test_a_chained_load_has_the_rows_of_a_full_build(spark):
+    counts = {r["table_name"]: r["row_count"] for r in QUERIES["chained_load"](spark, FOLDER).collect()}
+    whole = QUERIES["silver_clean"](spark, FOLDER).count()
+    assert counts["silver"] == counts["fact_patient_flow"] == whole
+
+
 def test_a_failed_batch_is_taken_again_and_adds_nothing_twice(spark, monkeypatch):
     store = m.Store(new_folder(spark, "chain"))
     put(spark, store, LATE, event(1), event(2))
