@@ -23,6 +23,7 @@ from starflow.operators.joins import BROADCAST_BYTES, measured_bytes
 from starflow.operators.keys import dense_key
 from starflow.plans import admissions as a
 from starflow.plans.medallion import Store
+from starflow.session import plain_path
 from starflow.sources.tables import (
     append_table,
     open_declared,
@@ -91,12 +92,13 @@ def load_increment(spark: SparkSession, store: Store, as_of: a.AsOf) -> Live:
     """Bring the star schema up to the silver table. Each new silver file is taken once; a batch
     that is repeated after a failure leaves the same rows."""
     live = Live(spark, store)
-    fresh = open_stream(spark, "parquet", {}, a.SILVER, store.silver)
+    fresh = open_stream(spark, "parquet", {}, a.SILVER, store.silver).select("_metadata.file_path")
 
     def add(batch: DataFrame, number: int) -> None:
-        rows = stage(batch.select(*a.SILVER.fieldNames()), "increment")
-        if not rows.isEmpty():
-            _load(live, rows, number, as_of)
+        # The stream tells the files; several steps read them, each only its columns.
+        files = [plain_path(spark, r["file_path"]) for r in batch.distinct().collect()]
+        if files:
+            _load(live, open_declared(spark, sorted(files), a.SILVER), number, as_of)
 
     (
         fresh.writeStream.queryName("live_patient_flow")
@@ -180,12 +182,11 @@ def _fact(live: Live, rows: DataFrame, closed: DataFrame, as_of: a.AsOf) -> None
         days = sorted(r[DAY] for r in days.distinct().collect() if r[DAY] is not None)  # a calendar
         old = stage(fact.filter(F.col(DAY).isin(days) | F.col(DAY).isNull()), "increment_old")
         fresh = fresh.join(old.select("event_id"), "event_id", "left_anti")
-    numbered = stage(
-        dense_key(fresh, "fact_id", [DAY, "event_id"], live.last_key("fact_id")).select(*a.FACT_COLUMNS),
-        "increment_new",
-    )
+    # Neither the new facts nor the whole are stored once more: the numbered ranges are, and the old.
+    numbered = dense_key(fresh, "fact_id", [DAY, "event_id"], live.last_key("fact_id"))
+    numbered = numbered.select(*a.FACT_COLUMNS)
     live.give_out("fact_id", numbered.agg(F.max("fact_id")).first()[0])
-    whole = numbered
+    whole, written = numbered, numbered.select(DAY)
     if fact is not None:
         current = patients.filter("is_current").select("patient_id", F.col("patient_sk").alias("__now"))
         moved = closed.select("patient_sk").join(
@@ -194,8 +195,8 @@ def _fact(live: Live, rows: DataFrame, closed: DataFrame, as_of: a.AsOf) -> None
         small = F.broadcast(moved) if measured_bytes(moved) <= BROADCAST_BYTES else moved
         kept = old.join(small, "patient_sk", "left")
         kept = kept.withColumn("patient_sk", F.coalesce("__now", "patient_sk")).select(*a.FACT_COLUMNS)
-        whole = stage(numbered.unionByName(kept), "increment_whole")
-    dealt = whole.repartition(DAY, F.pmod(F.xxhash64("event_id"), F.lit(_slices(whole))))
+        whole, written = numbered.unionByName(kept), written.unionByName(old.select(DAY))
+    dealt = whole.repartition(DAY, F.pmod(F.xxhash64("event_id"), F.lit(_slices(written))))
     replace_partitions(dealt.sortWithinPartitions(DAY, "event_id").write.partitionBy(DAY), path)
 
 
@@ -203,7 +204,7 @@ def _fact(live: Live, rows: DataFrame, closed: DataFrame, as_of: a.AsOf) -> None
 DAY_ROWS = 2_000_000
 
 
-def _slices(whole: DataFrame) -> int:
+def _slices(days: DataFrame) -> int:
     """Tasks for the largest day, so that a day with most of the rows is not written by one."""
-    most = whole.groupBy(DAY).count().agg(F.max("count")).first()[0] or 0
+    most = days.groupBy(DAY).count().agg(F.max("count")).first()[0] or 0
     return most // DAY_ROWS + 1

@@ -111,12 +111,12 @@ def load_silver(
         marked = mark_unusable(a.parse(batch, ["event_id"], "unreadable"), "event_id", "unreadable")
         aside = marked.filter(F.col("reason").isNotNull())
         write_table(aside.select(*QUARANTINE), store.quarantine(number))
-        # Stored first, as the files it is compared with are in the folder it is appended to.
         usable = a.clean(batch, as_of)
         if not without_id:
             usable = usable.filter(F.col("event_id").isNotNull())
-        fresh = stage(usable, "silver_batch")
         known = open_buckets(batch.sparkSession, store.silver, a.SILVER)
+        # Stored first where it is compared with files of the folder that it is appended to.
+        fresh = usable if known is None else stage(usable, "silver_batch")
         report = LoadReport(batch.sparkSession)
         added = report.observed(new_in_buckets(fresh, known, "event_id"), "silver", _silver_measures(as_of))
         append_buckets(added, store.silver, "event_id")

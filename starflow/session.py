@@ -69,6 +69,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def plain_path(spark: SparkSession, uri: str) -> str:
+    """A path as readers take it, from one that is encoded as in ``_metadata.file_path``."""
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).toString()
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other run uses."""
     path = f"{shared_root(spark)}/{name}/run={uuid.uuid4().hex}"

@@ -6,6 +6,7 @@ from starflow.sources.tables import (
     open_stream,
     open_table,
     register_views,
+    spread,
     stage,
     write_table,
 )
@@ -19,6 +20,7 @@ __all__ = [
     "open_stream",
     "open_table",
     "register_views",
+    "spread",
     "stage",
     "write_table",
 ]

@@ -22,7 +22,11 @@ def open_table(
 
 
 def open_declared(
-    spark: SparkSession, path: str, schema: str | StructType, format: str = "parquet", **options: str
+    spark: SparkSession,
+    path: str | list[str],
+    schema: str | StructType,
+    format: str = "parquet",
+    **options: str,
 ) -> DataFrame:
     """Batch scan under a declared schema: no inference, and only the declared columns."""
     return spark.read.format(format).schema(schema).options(**options).load(path)
@@ -55,6 +59,19 @@ def with_instants(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp") for c in local}) if local else df
 
 
+# Rows of a task that makes something large of each of them.
+SPREAD_ROWS = 100_000
+
+
+def spread(df: DataFrame, rows: int = SPREAD_ROWS) -> DataFrame:
+    """Deal the rows evenly to tasks that grow with them, whatever files they are read from.
+
+    A small file can hold many rows in few row groups, of which each goes to one task, with all that
+    is made from its rows before the next shuffle.
+    """
+    return df.repartition(df.count() // rows + 1)
+
+
 def append_table(df: DataFrame, path: str, format: str = "parquet") -> str:
     df.write.format(format).mode("append").save(path)
     return path

@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from starflow.operators import buckets as b
 from starflow.operators.history import merge_history
 from starflow.plans import admissions as a
-from starflow.plans import incremental
+from starflow.plans import incremental, medallion
 from starflow.plans.incremental import load_increment
 from starflow.plans.medallion import Store, load_silver
+from starflow.plans.registry import three_loads
 from starflow.session import new_folder
 from starflow.sources.observed import LoadReport
-from starflow.sources.tables import append_table, open_stream
+from starflow.sources.tables import append_table, open_stream, spread, stage, write_table
 from starflow.streaming.landing import envelope, land
 from starflow.streaming.progress import ProgressTable, read_progress
 
@@ -158,6 +159,32 @@ def test_only_touched_days_are_rewritten(spark):
     assert files(path) == after
 
 
+def test_a_load_stores_no_copy_of_what_is_stored(spark, monkeypatch):
+    store, staged = Store(new_folder(spark, "live load, 100%")), []
+    monkeypatch.setattr(incremental, "stage", lambda df, name: staged.append(name) or stage(df, name))
+    monkeypatch.setattr(medallion, "stage", lambda df, name: staged.append(name) or stage(df, name))
+    put(spark, store, event(1, 10), event(2, 11, patient_id="Q"))
+    live = load_increment(spark, store, NOW)
+    wide = {"silver_batch", "increment", "increment_old", "increment_new", "increment_whole"}
+    assert wide.isdisjoint(staged)
+    put(spark, store, event(3, 10, insurance_type="Other"), event(2, 11, patient_id="Q"))
+    load_increment(spark, store, LATER)
+    assert wide.intersection(staged) == {"silver_batch", "increment_old"}
+    facts = {r["event_id"]: r["fact_id"] for r in live.fact().collect()}
+    assert facts == {"X1": 1, "X2": 2, "X3": 3} and live.fact().count() == 3
+
+
+def test_messages_are_made_by_all_tasks_whatever_the_files(spark):
+    path = write_table(spark.range(100).coalesce(1), new_folder(spark, "one_file"))
+    dealt = spread(spark.read.parquet(path), 10)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 11 and max(sizes) <= 20
+    assert sorted(held(dealt)) == [(i,) for i in range(100)]
+    for part in three_loads(spark, "/root/testdata/sf0.001"):
+        made, read = plan_of(part).split("RoundRobinPartitioning")
+        assert "StructsToJson" in made and "StructsToJson" not in read
+
+
 def test_facts_follow_the_version_that_is_current(spark):
     store = Store(new_folder(spark, "live"))
     put(spark, store, event(1, 10), event(2, 11, patient_id="Q"), event(3, 15, patient_id=None))
