@@ -181,7 +181,7 @@ def test_messages_are_made_by_all_tasks_whatever_the_files(spark):
     assert len(sizes) == 11 and max(sizes) <= 20
     assert sorted(held(dealt)) == [(i,) for i in range(100)]
     for part in three_loads(spark, "/root/testdata/sf0.001"):
-        made, read = plan_of(part).split("RoundRobinPartitioning")
+        made, read = plan_of(part).split("REPARTITION_BY_NUM")
         assert "StructsToJson" in made and "StructsToJson" not in read
 
 
