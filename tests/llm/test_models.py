@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from starflow.llm import language_id, quality, top_k, toxicity, url_filters
 from starflow.llm.queries import ORACLE, QUERIES
+from starflow.session import shared_root
 
 BIG = "/root/testdata/sf0.01"
 
@@ -421,3 +423,30 @@ def test_bounds_end_the_reading_early():
     assert len(left) <= 1536
     best = np.argsort(-(lists.data @ query), kind="stable")
     assert {i for i in best[:11].tolist() if i != 7} <= set(left.tolist())
+
+
+def test_looked_up_in_parts_gives_the_same(spark):
+    docs, labels = toxic_corpus(200)
+    docs += [(None, "a vile b"), (None, None), (300, ""), (300, "vile")]
+    known = spark.createDataFrame(labels, "id bigint, label bigint")
+    texts = spark.createDataFrame(docs, "id bigint, text string")
+    model = toxicity.fit(texts.join(known, "id"))
+    names = {t.name for t in spark.catalog.listTables()}
+    whole = toxicity.differences(texts, model).collect()
+    parts = toxicity.differences(texts, model, bound=0).collect()
+    assert {t.name for t in spark.catalog.listTables()} == names
+    key = lambda r: (r["id"] is None, r["id"] or 0, r["x"] is None, r["x"] or 0.0)
+    assert len(whole) == len(docs)
+    for a, b in zip(sorted(whole, key=key), sorted(parts, key=key), strict=True):
+        assert a["id"] == b["id"] and (a["x"] is None) == (b["x"] is None)
+        assert a["x"] is None or a["x"] == pytest.approx(b["x"], abs=1e-12)
+
+
+def test_only_the_model_is_left_of_what_it_was_made_from(spark):
+    docs, labels = toxic_corpus(60)
+    root = Path(shared_root(spark).removeprefix("file:"))
+    texts = spark.createDataFrame([(t, y) for (_, t), (_, y) in zip(docs, labels)], "text string, label bigint")
+    before = {p for p in root.glob("toxicity_*/run=*")}
+    assert toxicity.fit(texts) is not None
+    left = {p.parent.name for p in set(root.glob("toxicity_*/run=*")) - before}
+    assert left == {"toxicity_model"}
