@@ -30,6 +30,9 @@ FITTED = 20_000
 # bound is well on the safe side of a half.
 LEAST = 0.2
 
+# Leading bits of the hash by which rows are counted to find those.
+PART_BITS = 12
+
 ROUNDS = 30
 RIDGE = 1.0
 
@@ -212,6 +215,51 @@ def score_quality(
     )
 
 
+def _first_rows(taught: DataFrame, fitted: int) -> DataFrame:
+    """The first ``fitted`` rows in the order of a hash of the id.
+
+    Rows are counted by the leading bits of the hash first, and only those up to the part where the
+    number is reached are sorted: what a task sends does not grow with the table.
+    """
+    part = F.shiftright(F.xxhash64("id"), 64 - PART_BITS)
+    counts = taught.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()
+    reached, last = 0, None
+    for row in sorted(counts):
+        reached, last = reached + row["n"], row["part"]
+        if reached >= fitted:
+            break
+    first = taught.filter(part <= last) if last is not None else taught
+    return first.orderBy(F.xxhash64("id"), "id", "x").limit(fitted)
+
+
+def _taught(taught: DataFrame, fitted: int):
+    """The model, ``None`` without labels of both kinds, and the rate of the labels. One task fits it
+    on its bounded sample, and only the weights go to the driver."""
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [
+            (batch.column(0).flatten().to_numpy().reshape(-1, N_FEATURES), batch.column(1).to_numpy())
+            for batch in batches
+            if batch.num_rows
+        ]
+        rows = np.concatenate([np.empty((0, N_FEATURES)), *(x for x, _ in parts)])
+        y = np.concatenate([np.empty(0), *(y for _, y in parts)])
+        del parts
+        model = fit(rows, y) if len(np.unique(y)) > 1 else (None, None, None)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([float(y.mean()) if len(y) else 0.5]), *(pa.array([m], pa.list_(pa.float64())) for m in model)],
+            names=["chance", "centre", "scale", "weights"],
+        )
+
+    schema = "chance double, centre array<double>, scale array<double>, weights array<double>"
+    found = _first_rows(taught, fitted).select("x", "label").mapInArrow(learn, schema).collect()
+    if not found:  # no labels, and so no task
+        return None, 0.5
+    row = found[0]
+    model = tuple(np.array(row[c]) for c in ("centre", "scale", "weights")) if row["weights"] else None
+    return model, row["chance"]
+
+
 def _scored(docs, known, host, path, id_col, text_col, fitted: int) -> DataFrame:
     """``id, host, path, label, evidence`` of each row; labels are NULL where there are none."""
     spark = docs.sparkSession
@@ -235,13 +283,9 @@ def _scored(docs, known, host, path, id_col, text_col, fitted: int) -> DataFrame
     described = rows.mapInArrow(describe, ", ".join([*fields, "x array<double>"]))
     described = keep(described, "quality_features")
     described = keep(by_size(described, keep(known, "quality_labels"), ["id"], "left"), "quality_labelled")
-    taught = described.filter(F.col("label").isNotNull())
-    sample = taught.orderBy(F.xxhash64("id"), "id", "x").limit(fitted).select("x", "label").collect()
-    y = np.array([r["label"] for r in sample])
-    if len(np.unique(y)) < 2:
-        chance = float(y.mean()) if len(y) else 0.5
+    model, chance = _taught(described.filter(F.col("label").isNotNull()), fitted)
+    if model is None:
         return described.select("id", "host", "path", "label", F.lit(chance).alias("evidence"))
-    model = fit(np.array([r["x"] for r in sample]), y)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from brute import top_k as plain_top_k
 from compare import connect, differences
+from pyspark.sql.classic.dataframe import DataFrame
 from pyspark.sql import functions as F
 
 from starflow.llm import language_id, quality, top_k, toxicity, url_filters
@@ -450,3 +451,23 @@ def test_only_the_model_is_left_of_what_it_was_made_from(spark):
     assert toxicity.fit(texts) is not None
     left = {p.parent.name for p in set(root.glob("toxicity_*/run=*")) - before}
     assert left == {"toxicity_model"}
+
+
+def test_the_quality_sample_stays_on_the_executors(spark, monkeypatch):
+    rows_ = [(i % 150, f"word{i % 7} " * (i % 30), "s", "p") for i in range(600)]
+    docs = spark.createDataFrame(rows_, "doc_id bigint, text string, host string, path string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(150)], "doc_id bigint, quality int")
+    taught = docs.select(F.col("doc_id").alias("id"), F.length("text").alias("x"))
+    order = (F.xxhash64("id"), "id", "x")
+    for most in (1, 50, 600, 1000):
+        plain = taught.orderBy(*order).limit(most).collect()
+        assert quality._first_rows(taught, most).collect() == plain
+    seen, collect = [], DataFrame.collect
+
+    def noted(frame):
+        seen.append(frame.columns)
+        return collect(frame)
+
+    monkeypatch.setattr(type(docs), "collect", noted)
+    quality.score_quality(docs, labels, F.col("host"), F.col("path"))
+    assert seen and not any("x" in columns for columns in seen)
